@@ -31,9 +31,9 @@ TOP_P = 0.95
 
 def token_pairs(tokenized: DataFrame, keep: Sequence[str] = (), tokens: str = "tokens") -> DataFrame:
     """Each token with the one after it, inside one text: ``(token, next_token)``."""
-    n = F.size(tokens)
-    left, right = F.slice(tokens, F.lit(1), n - 1), F.slice(tokens, F.lit(2), n - 1)
-    zipped = tokenized.where(n >= 2).select(*keep, left.alias("token"), right.alias("next_token"))
+    n = F.greatest(F.size(tokens) - 1, F.lit(0))
+    left, right = F.slice(tokens, F.lit(1), n), F.slice(tokens, F.lit(2), n)
+    zipped = tokenized.select(*keep, left.alias("token"), right.alias("next_token"))
     return zipped.select(*keep, F.explode(F.arrays_zip("token", "next_token")).alias("pair")).select(*keep, "pair.*")
 
 
@@ -65,39 +65,46 @@ class BigramModel:
 
 
 def train_bigrams(tokenized: DataFrame, alpha: float = 1.0) -> BigramModel:
-    return BigramModel(pair_counts(token_pairs(tokenized)), alpha)
+    """Count the training text once; the counts are written, as several joins read them."""
+    return BigramModel(materialize(pair_counts(token_pairs(tokenized))), alpha)
 
 
 def _known(counts: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
     """Add ``_model``: the training count of each row, 0 if unseen.
 
-    ``table`` has one row per key. If many rows of ``counts`` share a key, adaptive
-    execution splits that key's partition and reads the single matching row for each part.
+    ``table`` has one row per key and grows with the text, so it is never broadcast. If
+    many rows of ``counts`` share a key, adaptive execution splits that key's partition
+    and reads the single matching row for each part.
     """
-    known = table.withColumnRenamed("n", "_model")
+    known = table.withColumnRenamed("n", "_model").hint("merge")
     return counts.join(known, list(on), "left").withColumn("_model", F.coalesce("_model", F.lit(0)))
 
 
 def bigram_losses(counts: DataFrame, model: BigramModel, group_by: Sequence[str]) -> DataFrame:
-    """Summed loss and number of pairs per group: ``(group, n_pairs, nll)``.
+    """Summed loss per group: ``(group, n_pairs, n_targets, nll)``.
 
-    ``counts`` holds ``(group, token, next_token, n)``, already combined per group.
+    ``counts`` holds ``(group, token, next_token, n)``, already combined per group. A
+    target without a predecessor (``token`` is NULL) has no loss.
     """
     groups = list(group_by)
-    smoothing = F.lit(float(model.alpha)) * F.col("_v")
+    scored = F.when(F.col("token").isNotNull(), F.col("n"))
     of_pairs = _known(counts, model.pairs, ["token", "next_token"]).select(
-        *groups, "n", (-F.col("n") * F.log(F.col("_model") + F.lit(model.alpha))).alias("part")
+        *groups,
+        F.col("n").alias("n_targets"),
+        scored.alias("n_pairs"),
+        (-scored * F.log(F.col("_model") + F.lit(float(model.alpha)))).alias("part"),
     )
-    contexts = counts.groupBy(*groups, "token").agg(F.sum("n").alias("n"))
+    contexts = counts.where(F.col("token").isNotNull()).groupBy(*groups, "token").agg(F.sum("n").alias("n"))
+    smoothing = F.lit(float(model.alpha)) * F.col("_v")
     of_contexts = (
         _known(contexts, model.contexts, ["token"])
         .withColumn("_v", model.vocabulary_size())
-        .select(*groups, F.lit(0).cast("bigint").alias("n"), (F.col("n") * F.log(F.col("_model") + smoothing)).alias("part"))
+        .select(*groups, (F.col("n") * F.log(F.col("_model") + smoothing)).alias("part"))
     )
     return (
-        of_pairs.unionByName(of_contexts)
+        of_pairs.unionByName(of_contexts, allowMissingColumns=True)
         .groupBy(*groups)
-        .agg(F.sum("n").alias("n_pairs"), F.sum("part").alias("nll"))
+        .agg(F.sum("n_pairs").alias("n_pairs"), F.sum("n_targets").alias("n_targets"), F.sum("part").alias("nll"))
     )
 
 
@@ -166,9 +173,9 @@ def scored_pairs(
     """
     check_windows(length, stride)
     order = [split, *order_by]
-    n = F.size(tokens).cast("bigint")
-    texts = tokenized.where(n > 0).select(*order, F.col(tokens).alias("tokens"))
-    wide = texts.withColumn("n_tokens", n).withColumn("_last", F.element_at("tokens", -1))
+    texts = tokenized.select(*order, F.col(tokens).alias("tokens"))
+    wide = texts.withColumn("n_tokens", F.size("tokens").cast("bigint"))
+    wide = wide.withColumn("_last", F.get("tokens", F.size("tokens") - 1))
     narrow = materialize(wide.select(*order, "n_tokens", "_last"))
     placed = with_running(
         wide,
@@ -178,11 +185,13 @@ def scored_pairs(
         range_of_row=key_ranges(narrow, order).range_of_key(),
         totals_of=narrow,
     )
-    previous = F.concat(F.array("_before"), F.slice("tokens", F.lit(1), F.size("tokens") - 1))
+    kept = F.greatest(F.size("tokens") - 1, F.lit(0))
+    previous = F.concat(F.array("_before"), F.slice("tokens", F.lit(1), kept))
     placed = placed.select(split, "token_start", previous.alias("token"), F.col("tokens").alias("next_token"))
     pairs = placed.select(split, "token_start", F.posexplode(F.arrays_zip("token", "next_token")).alias("at", "pair"))
     window = window_of(F.col("token_start") + F.col("at"), length, stride)
-    return pairs.select(split, window.alias("window"), "pair.token", "pair.next_token")
+    scored = pairs.select(split, window.alias("window"), "pair.token", "pair.next_token")
+    return scored.where(F.col("next_token").isNotNull())
 
 
 def window_perplexity(
@@ -197,9 +206,8 @@ def window_perplexity(
     """Sliding-window perplexity of each split: ``(split, n_tokens, perplexity)``."""
     pairs = scored_pairs(tokenized, order_by, length=length, stride=stride, split=split)
     groups = [split, "window"]
-    counts = pair_counts(pairs, groups)
-    losses = bigram_losses(counts.where(F.col("token").isNotNull()), model, groups)
-    return _weigh_windows(losses, counts.groupBy(*groups).agg(F.sum("n").alias("trg_len")), split)
+    counts = materialize(pair_counts(pairs, groups))
+    return _weighted(bigram_losses(counts, model, groups), split)
 
 
 def window_perplexity_of_losses(
@@ -212,24 +220,20 @@ def window_perplexity_of_losses(
     """The same from any scorer's ``(split, pos, nll)``; NULL where a token has no loss."""
     check_windows(length, stride)
     scored = losses.withColumn("window", window_of(F.col("pos"), length, stride)).groupBy(split, "window")
-    sums = scored.agg(F.count("nll").alias("n_pairs"), F.sum("nll").alias("nll"), F.count(F.lit(1)).alias("trg_len"))
+    sums = scored.agg(F.count("nll").alias("n_pairs"), F.sum("nll").alias("nll"), F.count(F.lit(1)).alias("n_targets"))
     return _weighted(sums, split)
 
 
-def _weigh_windows(losses: DataFrame, targets: DataFrame, split: str) -> DataFrame:
-    return _weighted(targets.join(losses, [split, "window"], "left"), split)
-
-
 def _weighted(windows: DataFrame, split: str) -> DataFrame:
     """exp of the window means weighted by target length, over all tokens.
 
     The first window scores one token fewer than its target length, yet has that weight.
     """
     mean = F.col("nll") / F.nullif(F.col("n_pairs"), F.lit(0))
-    value = F.exp(F.sum(mean * F.col("trg_len")) / F.sum("trg_len"))
+    value = F.exp(F.sum(mean * F.col("n_targets")) / F.sum("n_targets"))
     return (
         windows.groupBy(split)
-        .agg(F.sum("trg_len").alias("n_tokens"), value.alias("perplexity"))
+        .agg(F.sum("n_targets").alias("n_tokens"), value.alias("perplexity"))
         .withColumn("perplexity", F.when(F.col("perplexity") < float("inf"), F.col("perplexity")))
     )
 

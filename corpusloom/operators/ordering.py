@@ -91,9 +91,9 @@ def key_ranges(df: DataFrame, order_by: Sequence[str], parts: int | None = None)
         keys.repartitionByRange(_range_count(df, parts), *order_by)
         .groupBy(F.spark_partition_id().alias("part"))
         .agg(F.min(F.struct(*order_by)).alias("first"), F.count(F.lit(1)).alias("rows"))
-        .orderBy("part")
         .collect()
     )
+    found.sort(key=lambda row: row["part"])
     return KeyRanges(
         keys=tuple(order_by),
         schema=keys.schema,
@@ -113,9 +113,9 @@ def aligned_ranges(df: DataFrame, order_by: Sequence[str], unit_rows: int, parts
     starts = (
         with_row_index(df.select(*order_by), order_by, ranges=coarse)
         .where((F.col("row_index") > 0) & (F.col("row_index") % rows == 0))
-        .orderBy("row_index")
         .collect()
     )
+    starts.sort(key=lambda row: row["row_index"])
     last = coarse.total - rows * len(starts)
     return KeyRanges(
         keys=tuple(order_by),

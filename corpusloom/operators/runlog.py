@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.ordering import KeyRanges, Running, key_ranges, with_running
+from corpusloom.session import materialize
 
 # Default schedule, cadence and stopping settings.
 LEARNING_RATE = 5e-4
@@ -153,7 +154,8 @@ def early_stop(
     )
     gain = F.col("_best") - F.col("_score")
     improved = F.col("_best").isNull() | ((gain > 0) & (gain > threshold))
-    rows = rows.withColumn("_improved_at", F.when(improved, F.col("_index")))
+    improved_at = F.when(improved, F.col("_index")).alias("_improved_at")
+    rows = materialize(rows.select(*order, "_index", improved_at))
     rows = with_running(
         rows, order, {"_before": Running("max", F.col("_improved_at"))}, group_by=["run_id"], range_of_row=place
     )

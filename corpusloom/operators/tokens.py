@@ -49,6 +49,16 @@ def tokenize(
     return rows.select(*keep, (tokens if max_length is None else F.slice(tokens, 1, max_length)).alias("tokens"))
 
 
+def explode_tokens(tokenized: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """One row per token.
+
+    A plain explode makes the optimizer add a size filter on the array and push it below
+    the projection, which tokenizes the text a second and a third time. The outer form
+    does not; the NULL it gives for an empty array is dropped here.
+    """
+    return tokenized.select(F.explode_outer(tokens).alias("token")).where(F.col("token").isNotNull())
+
+
 def build_vocabulary(tokenized: DataFrame, size: int = VOCABULARY_SIZE, tokens: str = "tokens") -> DataFrame:
     """The most frequent tokens with ids: ``(token, id, freq)``, ``size`` counting the special ids.
 
@@ -57,7 +67,7 @@ def build_vocabulary(tokenized: DataFrame, size: int = VOCABULARY_SIZE, tokens:
     them reach the final sort, and only the kept ones are numbered.
     """
     wanted = size - len(SPECIAL_TOKENS)
-    counts = tokenized.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
+    counts = explode_tokens(tokenized, tokens).groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
     binary_digits = F.length(F.bin("freq"))
     levels = counts.groupBy(binary_digits.alias("level")).agg(F.count(F.lit(1)).alias("n"))
     # At most 64 levels, so one task numbers them.

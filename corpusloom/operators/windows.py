@@ -19,7 +19,7 @@ WINDOW_STRIDE = 512
 def document_lengths(tokenized: DataFrame, keep: Sequence[str], tokens: str = "tokens") -> DataFrame:
     """One narrow row per document that has tokens, written once: ``keep`` and ``n_tokens``."""
     lengths = tokenized.select(*keep, F.size(tokens).cast("bigint").alias("n_tokens"))
-    return materialize(lengths.where("n_tokens > 0"))
+    return materialize(lengths).where("n_tokens > 0")
 
 
 def corpus_positions(lengths: DataFrame, order_by: Sequence[str], split: str | None = None) -> DataFrame:

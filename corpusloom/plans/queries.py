@@ -23,7 +23,7 @@ from corpusloom.operators import (
     tokens,
     windows,
 )
-from corpusloom.session import spread_small_input
+from corpusloom.session import materialize, spread_small_input
 from corpusloom.sources import alias_split, read_named_split, read_text_parquet
 
 # The parameters of the catalogue.
@@ -45,6 +45,10 @@ KEEP = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
 ORDER = ["doc_id"]
+# The columns of the given tables, so that no footer is read to infer them.
+DOCUMENTS = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
+CONVERSATIONS = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
+EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
 def split_of_document() -> Column:
@@ -59,7 +63,7 @@ def _lower_tokens(text: Column) -> Column:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = read_text_parquet(spark, f"{sf_dir}/documents.parquet", label="documents")
+    df = read_text_parquet(spark, f"{sf_dir}/documents.parquet", label="documents", schema=DOCUMENTS)
     return df.withColumn("split", split_of_document())
 
 
@@ -70,13 +74,18 @@ def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").select(
         F.col("user_id").alias("run_id"), "ts", "event_id", F.col("value").alias("eval_loss")
     )
     steps = runlog.numbered_steps(events, "run_id", ["ts", "event_id"])
     return steps.select("run_id", "step", "eval_loss")
 
 
+def written_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as a table, for work that reads it several times."""
+    return materialize(run_log(spark, sf_dir))
+
+
 def _whole_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Untruncated tokens of the text as it is."""
     return tokens.tokenize(spread_documents(spark, sf_dir), max_length=None, keep=["doc_id", "split"])
@@ -103,11 +112,11 @@ def _model(spark: SparkSession, sf_dir: str) -> ngram.BigramModel:
 
 def _evaluated_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = _lower_whole_tokens(spark, sf_dir).where(F.col("split").isin("validation", "test"))
-    return ngram.pair_counts(ngram.token_pairs(held_out, ["split"]), ["split"])
+    return materialize(ngram.pair_counts(ngram.token_pairs(held_out, ["split"]), ["split"]))
 
 
 def _checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runlog.at_interval(run_log(spark, sf_dir), SAVE_EVERY)
+    return runlog.at_interval(written_run_log(spark, sf_dir), SAVE_EVERY)
 
 
 # Scans and selection
@@ -119,7 +128,7 @@ def scan_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def named_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry = {"documents": f"{sf_dir}/documents.parquet"}
-    df = read_named_split(spark, registry, "documents", "validation", split_by=split_of_document())
+    df = read_named_split(spark, registry, "documents", "validation", split_by=split_of_document(), schema=DOCUMENTS)
     return df.select("doc_id", "n_chars")
 
 
@@ -182,7 +191,7 @@ def corpus_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def turn_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions under a key of two columns."""
-    turns = read_text_parquet(spark, f"{sf_dir}/conversations.parquet", label="conversations")
+    turns = read_text_parquet(spark, f"{sf_dir}/conversations.parquet", label="conversations", schema=CONVERSATIONS)
     order = ["conv_id", "turn"]
     lengths = windows.document_lengths(tokens.tokenize(turns, max_length=None, keep=order), order)
     return windows.corpus_positions(lengths, order).select(*order, "row_index", "token_start")
@@ -364,11 +373,12 @@ def runlog_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
 def runlog_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexities span hundreds of orders of magnitude, so seven digits are compared."""
     log = runlog.with_perplexity(run_log(spark, sf_dir))
-    return log.withColumn("eval_perplexity", F.format_string("%.6e", "eval_perplexity").cast("double"))
+    seven_digits = F.format_string("%.6e", "eval_perplexity").cast("double")
+    return log.withColumn("eval_perplexity", F.when(F.col("eval_perplexity").isNotNull(), seven_digits))
 
 
 def lr_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = runlog.lr_schedule(run_log(spark, sf_dir), warmup_steps=WARMUP)
+    rates = runlog.lr_schedule(written_run_log(spark, sf_dir), warmup_steps=WARMUP)
     return rates.withColumn("learning_rate", F.round("learning_rate", 10))
 
 
@@ -377,7 +387,7 @@ def best_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runlog.early_stop(run_log(spark, sf_dir), patience=PATIENCE)
+    return runlog.early_stop(written_run_log(spark, sf_dir), patience=PATIENCE)
 
 
 def checkpoint_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -385,7 +395,7 @@ def checkpoint_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def last_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("user_id").alias("run_id"))
+    runs = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").select(F.col("user_id").alias("run_id"))
     return runlog.last_checkpoint(runs, _checkpoints(spark, sf_dir))
 
 

@@ -78,6 +78,7 @@ def read_named_split(
     *,
     split_by: Column | None = None,
     text: str = "text",
+    schema: StructType | str | None = None,
 ) -> DataFrame:
     """One split of a registered corpus.
 
@@ -86,7 +87,7 @@ def read_named_split(
     """
     if name not in registry:
         raise KeyError(f"unknown corpus {name!r}; registered: {', '.join(sorted(registry))}")
-    df = read_text_parquet(spark, registry[name], label=name, text=text)
+    df = read_text_parquet(spark, registry[name], label=name, text=text, schema=schema)
     if split_by is not None:
         df = df.withColumn("split", split_by)
     return df.where(F.col("split") == split)
