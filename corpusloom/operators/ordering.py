@@ -14,67 +14,59 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType, TimestampNTZType
+from pyspark.sql.types import ArrayType, StructType
 
 _RANGE = "_range"
 
-
-def _literal(value, data_type: DataType) -> Column:
-    if isinstance(data_type, TimestampNTZType) and value is not None:
-        value = value.isoformat(sep=" ")
-    return F.lit(value).cast(data_type)
+# Formats that keep every digit of a key on its way from a result into a plan.
+_EXACT = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 @dataclass(frozen=True)
 class KeyRanges:
-    """Consecutive key ranges: the first key of each range but the first, and exact row counts."""
+    """Consecutive key ranges: the first key of each range but the first, and exact row counts.
+
+    Keys are kept as JSON text that Spark wrote. In a plan they become one constant.
+    """
 
-    keys: tuple[str, ...]
     schema: StructType
-    firsts: tuple[tuple, ...]
+    firsts: tuple[str, ...]
     rows: tuple[int, ...]
 
     @property
     def total(self) -> int:
         return sum(self.rows)
 
-    def _key(self, values: tuple | None = None) -> Column:
-        if values is None:
-            columns = [F.col(name) for name in self.keys]
-        else:
-            columns = [
-                _literal(value, self.schema[name].dataType).alias(name)
-                for name, value in zip(self.keys, values)
-            ]
-        return columns[0] if len(columns) == 1 else F.struct(*columns)
-
     def range_of_key(self) -> Column:
         """Which range a row belongs to: how many range starts are not after its key.
 
-        Looked up in two steps of about sqrt(ranges) comparisons each.
+        A binary search: steps of falling powers of two, each taken if the start it leads
+        to exists and is not after the key.
         """
         if not self.firsts:
             return F.lit(0)
-        width = math.isqrt(len(self.firsts) - 1) + 1
-        groups = [self.firsts[i : i + width] for i in range(0, len(self.firsts), width)]
-        key = self._key()
+        starts = F.from_json(F.lit(f"[{','.join(self.firsts)}]"), ArrayType(self.schema), _EXACT)
+        key = F.struct(*self.schema.names)
+        digits = len(self.firsts).bit_length()
+        steps = F.array(*[F.lit(1 << i) for i in reversed(range(digits))])
 
-        def count_not_after(starts: Column) -> Column:
-            return F.size(F.filter(starts, lambda first: first <= key))
+        def advance(place: Column, step: Column) -> Column:
+            return F.when(F.try_element_at(starts, place + step) <= key, place + step).otherwise(place)
 
-        heads = F.array(*[self._key(group[0]) for group in groups])
-        members = F.array(*[F.array(*[self._key(first) for first in group]) for group in groups])
-        group = count_not_after(heads)
-        within = count_not_after(F.element_at(members, group))
-        return F.when(group == 0, F.lit(0)).otherwise((group - 1) * width + within)
+        return F.aggregate(steps, F.lit(0), advance)
 
     def rows_before(self, range_column: str = _RANGE) -> Column:
         """How many rows the earlier ranges hold."""
-        before = [sum(self.rows[:i]) for i in range(len(self.rows) or 1)]
-        return F.element_at(F.array(*[F.lit(n).cast("bigint") for n in before]), F.col(range_column) + 1)
+        before = [0, *accumulate(self.rows[:-1])]
+        constant = F.from_json(F.lit(str(before)), "array<bigint>")
+        return F.element_at(constant, F.col(range_column) + 1)
 
 
 def _range_count(df: DataFrame, parts: int | None) -> int:
@@ -90,14 +82,13 @@ def key_ranges(df: DataFrame, order_by: Sequence[str], parts: int | None = None)
     found = (
         keys.repartitionByRange(_range_count(df, parts), *order_by)
         .groupBy(F.spark_partition_id().alias("part"))
-        .agg(F.min(F.struct(*order_by)).alias("first"), F.count(F.lit(1)).alias("rows"))
+        .agg(F.to_json(F.min(F.struct(*order_by)), _EXACT).alias("first"), F.count(F.lit(1)).alias("rows"))
         .collect()
     )
     found.sort(key=lambda row: row["part"])
     return KeyRanges(
-        keys=tuple(order_by),
         schema=keys.schema,
-        firsts=tuple(tuple(row["first"]) for row in found[1:]),
+        firsts=tuple(row["first"] for row in found[1:]),
         rows=tuple(row["rows"] for row in found),
     )
 
@@ -113,18 +104,38 @@ def aligned_ranges(df: DataFrame, order_by: Sequence[str], unit_rows: int, parts
     starts = (
         with_row_index(df.select(*order_by), order_by, ranges=coarse)
         .where((F.col("row_index") > 0) & (F.col("row_index") % rows == 0))
+        .select("row_index", F.to_json(F.struct(*order_by), _EXACT).alias("first"))
         .collect()
     )
     starts.sort(key=lambda row: row["row_index"])
     last = coarse.total - rows * len(starts)
     return KeyRanges(
-        keys=tuple(order_by),
         schema=coarse.schema,
-        firsts=tuple(tuple(row[name] for name in order_by) for row in starts),
+        firsts=tuple(row["first"] for row in starts),
         rows=(rows,) * len(starts) + (last,),
     )
 
 
+def first_rows(df: DataFrame, n: int, order_by: Sequence[str], parts: int | None = None) -> DataFrame:
+    """The first ``n`` rows in key order, as a filter.
+
+    The key of the last of them is found from the key columns alone; the other columns are
+    neither sorted nor shuffled. With a single key the filter reaches the scan.
+    """
+    ranges = key_ranges(df, order_by, parts)
+    if n >= ranges.total:
+        return df
+    if n <= 0:
+        return df.limit(0)
+    indexed = with_row_index(df.select(*order_by), order_by, ranges=ranges)
+    last = indexed.where(F.col("row_index") == n - 1).select(F.to_json(F.struct(*order_by), _EXACT)).first()[0]
+    cut = F.from_json(F.lit(last), ranges.schema, _EXACT)
+    if len(order_by) > 1:
+        return df.where(F.struct(*order_by) <= cut)
+    key = F.col(order_by[0])
+    return df.where(key.isNull() | (key <= cut[order_by[0]]))
+
+
 def with_row_index(
     df: DataFrame,
     order_by: Sequence[str],

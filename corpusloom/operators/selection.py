@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import contains_text
+from corpusloom.operators.ordering import first_rows
+
+# How many groups of tasks are merged before the final merge.
+MERGE_WIDTH = 256
 
 
 def drop_blank(df: DataFrame, text: str = "text") -> DataFrame:
@@ -37,17 +41,20 @@ def map_batches(
 
 def head(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
     """The first ``n`` rows in key order, or all rows if there are fewer."""
-    return df.orderBy(*order_by).limit(n)
+    return first_rows(df, n, order_by)
 
 
 def head_per_split(df: DataFrame, n: int, order_by: list[str], split: str = "split") -> DataFrame:
     """The first ``n`` rows of each split in key order.
 
-    Spark keeps ``n`` rows per split and task before the shuffle, so a large split is
-    not gathered in one task.
+    Spark keeps ``n`` rows per split and task before a shuffle. The tasks are merged in
+    two steps, so that no task reads ``n`` rows from each of very many.
     """
-    ordered = Window.partitionBy(split).orderBy(*order_by)
-    return df.withColumn("_rank", F.row_number().over(ordered)).where(F.col("_rank") <= n).drop("_rank")
+    tasks = df.withColumn("_tasks", F.spark_partition_id() % MERGE_WIDTH)
+    for group in ([split, "_tasks"], [split]):
+        ordered = Window.partitionBy(*group).orderBy(*order_by)
+        tasks = tasks.withColumn("_rank", F.row_number().over(ordered)).where(F.col("_rank") <= n)
+    return tasks.drop("_rank", "_tasks")
 
 
 def subset_report(df: DataFrame, n: int) -> DataFrame:
