@@ -1,14 +1,14 @@
 """A count-based bigram model: counts, losses, perplexity and next-token candidates.
 
 The loss of a pair, -ln((n(a, b) + alpha) / (n(a) + alpha * V)), is a difference of a
-term of the pair and a term of its context. Summed losses are therefore two joins, each
-on counts that were combined before: one row per pair and one row per context. No token
-of the evaluated text is joined one by one.
+term of the pair and a term of its context, so losses are summed from combined counts:
+one row per pair and one per context. Whole splits need no join at all, since one pass
+counts each pair in every split side by side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -43,7 +43,7 @@ def pair_counts(pairs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 @dataclass(frozen=True)
 class BigramModel:
-    """Pair counts of the training text and what is derived from them."""
+    """Pair counts of a training text and what is derived from them."""
 
     pairs: DataFrame
     alpha: float = 1.0
@@ -52,16 +52,10 @@ class BigramModel:
     def contexts(self) -> DataFrame:
         return self.pairs.groupBy("token").agg(F.sum("n").alias("n"))
 
-    @property
-    def targets(self) -> DataFrame:
-        return self.pairs.groupBy("next_token").agg(F.sum("n").alias("n"))
-
     def vocabulary_size(self) -> Column:
         """Distinct right-hand tokens and one for unknown ones."""
-        return self.targets.agg((F.count(F.lit(1)) + 1).alias("v")).scalar()
-
-    def total(self) -> Column:
-        return self.pairs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).scalar()
+        targets = self.pairs.select("next_token").distinct()
+        return targets.agg((F.count(F.lit(1)) + 1).alias("v")).scalar()
 
 
 def train_bigrams(tokenized: DataFrame, alpha: float = 1.0) -> BigramModel:
@@ -108,20 +102,52 @@ def bigram_losses(counts: DataFrame, model: BigramModel, group_by: Sequence[str]
     )
 
 
-def unigram_losses(counts: DataFrame, model: BigramModel, group_by: Sequence[str]) -> DataFrame:
+def split_pair_counts(tokenized: DataFrame, splits: Sequence[str], split: str = "split") -> DataFrame:
+    """How often each pair occurs in each of ``splits``: one column per split, one pass."""
+    counts = [F.count_if(F.col(split) == name).alias(name) for name in splits]
+    return token_pairs(tokenized, [split]).groupBy("token", "next_token").agg(*counts)
+
+
+def _sums_by_split(
+    counts: DataFrame, held_out: Sequence[str], loss: Callable[[Column], Column], with_pairs: bool
+) -> DataFrame:
+    """One row per split: the number of pairs and the sum of ``loss`` of their counts."""
+    pairs = F.sum if with_pairs else lambda _: F.lit(0).cast("bigint")
+    sums = [
+        F.struct(F.lit(name).alias("split"), pairs(name).alias("n_pairs"), F.sum(loss(F.col(name))).alias("nll"))
+        for name in held_out
+    ]
+    return counts.agg(F.array(*sums).alias("sums")).select(F.inline("sums"))
+
+
+def split_losses(
+    counts: DataFrame, held_out: Sequence[str], *, train: str = "train", alpha: float = 1.0
+) -> DataFrame:
+    """Summed bigram loss of each held-out split: ``(split, n_pairs, nll)``.
+
+    ``counts`` comes from :func:`split_pair_counts` and is read several times, so it
+    should be a written table.
+    """
+    smoothing = F.lit(float(alpha))
+    contexts = counts.groupBy("token").agg(*[F.sum(name).alias(name) for name in (train, *held_out)])
+    contexts = contexts.withColumn("_v", _split_vocabulary(counts, train))
+    of_pairs = _sums_by_split(counts, held_out, lambda n: -n * F.log(F.col(train) + smoothing), True)
+    of_contexts = _sums_by_split(contexts, held_out, lambda n: n * F.log(F.col(train) + smoothing * F.col("_v")), False)
+    whole = of_pairs.unionByName(of_contexts).groupBy("split")
+    return whole.agg(F.sum("n_pairs").alias("n_pairs"), F.sum("nll").alias("nll"))
+
+
+def split_unigram_losses(counts: DataFrame, held_out: Sequence[str], *, train: str = "train") -> DataFrame:
     """The same for a model that ignores the context: -ln((n(b) + 1) / (N + V))."""
-    targets = counts.groupBy(*group_by, "next_token").agg(F.sum("n").alias("n"))
-    sums = (
-        _known(targets, model.targets, ["next_token"])
-        .groupBy(*group_by)
-        .agg(F.sum("n").alias("n_pairs"), F.sum(F.col("n") * F.log(F.col("_model") + 1)).alias("_seen"))
-    )
-    whole = F.log((F.col("_total") + F.col("_v")).cast("double"))
-    return (
-        sums.withColumn("_total", model.total())
-        .withColumn("_v", model.vocabulary_size())
-        .select(*group_by, "n_pairs", (F.col("n_pairs") * whole - F.col("_seen")).alias("nll"))
-    )
+    total = counts.agg(F.coalesce(F.sum(train), F.lit(0)).alias("n")).scalar()
+    targets = counts.groupBy("next_token").agg(*[F.sum(name).alias(name) for name in (train, *held_out)])
+    targets = targets.withColumn("_whole", (total + _split_vocabulary(counts, train)).cast("double"))
+    return _sums_by_split(targets, held_out, lambda n: n * (F.log("_whole") - F.log(F.col(train) + 1)), True)
+
+
+def _split_vocabulary(counts: DataFrame, train: str) -> Column:
+    targets = counts.where(F.col(train) > 0).select("next_token").distinct()
+    return targets.agg((F.count(F.lit(1)) + 1).alias("v")).scalar()
 
 
 def perplexity(losses: DataFrame, *keep: str) -> DataFrame:

@@ -42,6 +42,7 @@ LOG_EVERY = 5
 EVAL_EVERY = 10
 WARMUP = 10
 KEEP = 3
+HELD_OUT = ("validation", "test")
 
 Query = Callable[[SparkSession, str], DataFrame]
 ORDER = ["doc_id"]
@@ -110,9 +111,8 @@ def _model(spark: SparkSession, sf_dir: str) -> ngram.BigramModel:
     return ngram.train_bigrams(_lower_whole_tokens(spark, sf_dir).where(F.col("split") == "train"))
 
 
-def _evaluated_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = _lower_whole_tokens(spark, sf_dir).where(F.col("split").isin("validation", "test"))
-    return materialize(ngram.pair_counts(ngram.token_pairs(held_out, ["split"]), ["split"]))
+def _split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(ngram.split_pair_counts(_lower_whole_tokens(spark, sf_dir), ["train", *HELD_OUT]))
 
 
 def _checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,17 +321,17 @@ def step_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _model(spark, sf_dir).pairs
+    train = _lower_whole_tokens(spark, sf_dir).where(F.col("split") == "train")
+    return ngram.pair_counts(ngram.token_pairs(train))
 
 
-def _held_out_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    losses = ngram.bigram_losses(_evaluated_counts(spark, sf_dir), _model(spark, sf_dir), ["split"])
-    return ngram.perplexity(losses, "split")
+def _held_out_scores(counts: DataFrame) -> DataFrame:
+    return ngram.perplexity(ngram.split_losses(counts, HELD_OUT), "split")
 
 
 def bigram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     short = F.when(F.col("split") == "validation", "eval").otherwise(F.col("split"))
-    return _held_out_scores(spark, sf_dir).select(
+    return _held_out_scores(_split_counts(spark, sf_dir)).select(
         F.concat(short, F.lit("_perplexity")).alias("metric"),
         "n_pairs",
         F.round("perplexity", 4).alias("perplexity"),
@@ -339,26 +339,25 @@ def bigram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def final_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    metrics = ngram.named_metrics(_held_out_scores(spark, sf_dir), {"validation": "eval"})
+    metrics = ngram.named_metrics(_held_out_scores(_split_counts(spark, sf_dir)), {"validation": "eval"})
     return metrics.select("metric", F.round("value", 4).alias("value"))
 
 
 def baseline_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts, model = _evaluated_counts(spark, sf_dir), _model(spark, sf_dir)
-    scores = ngram.perplexity(ngram.bigram_losses(counts, model, ["split"]), "split")
-    baseline = ngram.perplexity(ngram.unigram_losses(counts, model, ["split"]), "split")
-    compared = ngram.compare_with_baseline(scores, baseline, ["split"])
+    counts = _split_counts(spark, sf_dir)
+    baseline = ngram.perplexity(ngram.split_unigram_losses(counts, HELD_OUT), "split")
+    compared = ngram.compare_with_baseline(_held_out_scores(counts), baseline, ["split"])
     return compared.select("split", *[F.round(name, 4).alias(name) for name in compared.columns[1:]])
 
 
 def window_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = _lower_whole_tokens(spark, sf_dir).where(F.col("split").isin("validation", "test"))
+    held_out = _lower_whole_tokens(spark, sf_dir).where(F.col("split").isin(*HELD_OUT))
     scores = ngram.window_perplexity(held_out, _model(spark, sf_dir), ORDER)
     return scores.select("split", "n_tokens", F.round("perplexity", 4).alias("perplexity"))
 
 
 def next_token_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram.next_token_candidates(_model(spark, sf_dir).pairs).select(
+    return ngram.next_token_candidates(bigram_counts(spark, sf_dir)).select(
         "token", "next_token", "rank", F.round("p", 6).alias("p"), F.round("cum_p", 6).alias("cum_p")
     )
 

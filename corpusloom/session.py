@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +19,6 @@ def local_session(cores: str = "8", app: str = "corpusloom", **settings: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -44,17 +44,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="corpusloom-checkpoint-")
     context.setCheckpointDir(configured)
-    return configured
+    return context.getCheckpointDir()
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder and go on from there.
+    """Write ``df`` once below the checkpoint folder and go on from the written table.
 
-    Meant for narrow tables (keys and a few numbers per document), so that what was
-    derived from the text is computed by one scan although several jobs read it.
+    Used where several jobs or joins read what was derived from the text: keys and a few
+    numbers per document, or counts. The table outlives lost executors, cuts the lineage
+    and is read by column; it is removed when the application ends.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread_small_input(df: DataFrame, *keys: str) -> DataFrame:

@@ -5,14 +5,13 @@ from collections import Counter
 import pytest
 
 from corpusloom.operators.ngram import (
-    bigram_losses,
     compare_with_baseline,
     next_token_candidates,
-    pair_counts,
     perplexity,
-    token_pairs,
+    split_losses,
+    split_pair_counts,
+    split_unigram_losses,
     train_bigrams,
-    unigram_losses,
     window_perplexity,
     window_perplexity_of_losses,
 )
@@ -52,15 +51,16 @@ class _Loop:
 
 
 def test_losses_like_a_loop(spark):
-    loop, model = _Loop(TRAIN), train_bigrams(_frame(spark, TRAIN, "train"))
+    loop = _Loop(TRAIN)
     held_out = HELD_OUT + [["never", "seen", "a"], ["a", "unseen"]]
-    counts = pair_counts(token_pairs(_frame(spark, held_out), ["split"]), ["split"])
+    both = _frame(spark, TRAIN, "train").union(_frame(spark, held_out))
+    counts = split_pair_counts(both, ["train", "test"])
     pairs = _inside(held_out)
-    got = perplexity(bigram_losses(counts, model, ["split"]), "split").first()
+    got = perplexity(split_losses(counts, ["test"]), "split").first()
     expected = sum(loop.loss(a, b) for a, b in pairs) / len(pairs)
     assert (got["n_pairs"], got["loss"]) == (len(pairs), pytest.approx(expected, abs=1e-12))
     assert got["perplexity"] == pytest.approx(math.exp(expected))
-    base = perplexity(unigram_losses(counts, model, ["split"]), "split").first()
+    base = perplexity(split_unigram_losses(counts, ["test"]), "split").first()
     assert base["loss"] == pytest.approx(sum(loop.unigram(b) for _, b in pairs) / len(pairs), abs=1e-12)
 
 
