@@ -43,15 +43,12 @@ def pair_counts(pairs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 @dataclass(frozen=True)
 class BigramModel:
-    """Pair counts of a training text and what is derived from them."""
+    """Counts of a training text: its pairs, and how often each token is a context."""
 
     pairs: DataFrame
+    contexts: DataFrame
     alpha: float = 1.0
 
-    @property
-    def contexts(self) -> DataFrame:
-        return self.pairs.groupBy("token").agg(F.sum("n").alias("n"))
-
     def vocabulary_size(self) -> Column:
         """Distinct right-hand tokens and one for unknown ones."""
         targets = self.pairs.select("next_token").distinct()
@@ -59,8 +56,14 @@ class BigramModel:
 
 
 def train_bigrams(tokenized: DataFrame, alpha: float = 1.0) -> BigramModel:
-    """Count the training text once; the counts are written, as several joins read them."""
-    return BigramModel(materialize(pair_counts(token_pairs(tokenized))), alpha)
+    """Count the training text once and write both tables of counts.
+
+    Joins read them straight from the scan, which adaptive execution needs to split a
+    join partition that one frequent token makes too large.
+    """
+    pairs = materialize(pair_counts(token_pairs(tokenized)))
+    contexts = materialize(pairs.groupBy("token").agg(F.sum("n").alias("n")))
+    return BigramModel(pairs, contexts, alpha)
 
 
 def _known(counts: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:

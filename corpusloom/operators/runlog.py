@@ -64,8 +64,12 @@ def learning_rate(
 
 
 def lr_schedule(log: DataFrame, **settings: float) -> DataFrame:
-    """The learning rate of every logged step; a run's last step is its total."""
-    totals = log.groupBy("run_id").agg(F.max("step").alias("_total"))
+    """The learning rate of every logged step; a run's last step is its total.
+
+    The totals are written, so that the join reads them from a scan and adaptive execution
+    can split the partition of a long run.
+    """
+    totals = materialize(log.groupBy("run_id").agg(F.max("step").alias("_total")))
     rate = learning_rate(F.col("step"), F.col("_total"), **settings)
     return log.select("run_id", "step").join(totals, "run_id").select("run_id", "step", rate.alias("learning_rate"))
 

@@ -6,6 +6,7 @@ import math
 from pathlib import Path
 
 import duckdb
+from pyspark.sql import DataFrame
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -26,9 +27,8 @@ def _rows(names, rows):
     return sorted((tuple(_plain(row[i]) for i in order) for row in rows), key=repr)
 
 
-def differences(query, sql: str, spark, sf_dir: str) -> list[str]:
+def differences(df: DataFrame, sql: str, sf_dir: str) -> list[str]:
     """What differs, as text; empty if the results are the same."""
-    df = query(spark, sf_dir)
     ours = _rows(df.columns, df.collect())
     result = connect(sf_dir).execute(sql)
     names = [column[0] for column in result.description]
