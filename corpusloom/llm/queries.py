@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import token_files
+from corpusloom.llm import near_dup, secrets, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,8 +29,33 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op2_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secrets.BASE_RULES]
+
+    def joined(chosen: Column) -> Column:
+        return F.array_join(F.transform(chosen, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    def of_kind(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    return spans.select(
+        F.col("key").alias("doc_id"),
+        *[of_kind(kind) for kind in base],
+        F.sha2(joined(F.filter("spans", lambda s: s.kind.isin(*base))), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("key").alias("doc_id"), "class_id", "class_size", "kept")
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
+    "op2_secret_spans": op2_secret_spans,
+    "op3_near_duplicates": op3_near_duplicates,
 }
 
 ORACLES: dict[str, str] = {}
