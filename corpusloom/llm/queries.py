@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import near_dup, secrets, token_files
+from corpusloom.llm import embedding_dup, near_dup, secrets, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,10 +52,16 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "class_id", "class_size", "kept")
 
 
+def op9_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+    return found.select(F.col("key").alias("vec_id"), "n_links", "component_id", "kept")
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
     "op2_secret_spans": op2_secret_spans,
     "op3_near_duplicates": op3_near_duplicates,
+    "op9_embedding_duplicates": op9_embedding_duplicates,
 }
 
 ORACLES: dict[str, str] = {}
