@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import embedding_dup, near_dup, secrets, token_files
+from corpusloom.llm import embedding_dup, mixing, near_dup, secrets, sharding, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,25 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "class_id", "class_size", "kept")
 
 
+def op4_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mixed_positions(table(spark, sf_dir, "documents"))
+    source = F.when(F.col("label") != "NULL", F.substring("label", 2, 1 << 30))
+    return found.select(F.col("key").alias("doc_id"), source.alias("source"), "block", "phase", "slot", "position")
+
+
+def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shard_documents(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("key").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        F.col("shard").cast("int").alias("shard"),
+        F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op9_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embedding_dup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
     return found.select(F.col("key").alias("vec_id"), "n_links", "component_id", "kept")
@@ -61,6 +80,8 @@ QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
     "op2_secret_spans": op2_secret_spans,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_mixed_sources": op4_mixed_sources,
+    "op5_shards": op5_shards,
     "op9_embedding_duplicates": op9_embedding_duplicates,
 }
 
