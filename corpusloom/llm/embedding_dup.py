@@ -26,13 +26,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.components import components
 from corpusloom.llm.files import shared_folder, written
+from corpusloom.llm.groups import map_groups
 from corpusloom.llm.shingles import mix
 
 
@@ -155,47 +155,50 @@ def _hashed(vectors: DataFrame, p: LatticeHash) -> DataFrame:
     )
 
 
+def _units(raw: list[bytes]) -> np.ndarray:
+    m = np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1)
+    m = m / np.abs(m).max(axis=1)[:, None]
+    return m / np.linalg.norm(m, axis=1)[:, None]
+
+
 def _counted(p: LatticeHash):
     """Links between two blocks of a cell: sums per node, and per connected group a star."""
-    per_table = 1 + p.probes
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        table, cell, x, y = key[1], key[2], key[3], key[4]
-        rows = rows.drop_duplicates(["node", "block"])
-        weight = rows["copies"].to_numpy(np.int64)
-        nodes = rows["node"].to_numpy()
-        size = rows["vector"].str.len().to_numpy()
-        entries = np.array(rows["cells"].tolist(), np.int64).reshape(len(rows), p.tables, per_table)
-        left = np.flatnonzero(rows["block"].to_numpy() == x)
-        right = left if x == y else np.flatnonzero(rows["block"].to_numpy() == y)
+
+    def run(rows: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+        n = rows.num_rows
+        nodes, raw = rows["node"].to_pylist(), rows["vector"].to_pylist()
+        weight, own, x, y, table, cell = (
+            rows[c].to_numpy() for c in ("copies", "block", "x", "y", "table", "cell")
+        )
+        entries = np.array(rows["cells"].to_pylist(), np.int64).reshape(n, p.tables, 1 + p.probes)
+        size = np.array([len(v) for v in raw])
+        # Labels whose hashes are equal may meet in a group.
+        label = rows["label"].combine_chunks().dictionary_encode().indices.to_numpy()
         links = []
-        for length in np.unique(size):
-            mine, theirs = left[size[left] == length], right[size[right] == length]
-            if not len(mine) or not len(theirs):
-                continue
-
-            def unit(at: np.ndarray) -> np.ndarray:
-                m = np.frombuffer(b"".join(rows["vector"].iloc[at]), np.float64).reshape(len(at), -1)
-                m = m / np.abs(m).max(axis=1)[:, None]
-                return m / np.linalg.norm(m, axis=1)[:, None]
-
-            i, j = np.nonzero(unit(mine) @ unit(theirs).T >= p.cosine)
-            i, j = mine[i], theirs[j]
-            links.append(np.column_stack([i, j])[i < j] if x == y else np.column_stack([i, j]))
+        for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), n], strict=True):
+            at = np.arange(start, stop)
+            left = at[own[at] == x[start]]
+            right = at[own[at] == y[start]]
+            for length in np.unique(size[left]):
+                mine, theirs = left[size[left] == length], right[size[right] == length]
+                if len(mine) and len(theirs):
+                    cosines = _units([raw[i] for i in mine]) @ _units([raw[j] for j in theirs]).T
+                    i, j = np.nonzero(cosines >= p.cosine)
+                    found = np.column_stack([mine[i], theirs[j]])
+                    links.append(found[found[:, 0] < found[:, 1]] if x[start] == y[start] else found)
         found = np.concatenate(links) if links else np.zeros((0, 2), np.int64)
         # Only in the first table they share, and there in the smallest shared cell.
-        first = np.ones(len(found), bool)
-        for t in range(table + 1):
-            a, b = entries[found[:, 0], t], entries[found[:, 1], t]
-            same = a[:, :, None] == b[:, None, :]
-            if t == table:
-                same &= a[:, :, None] < cell
+        first = label[found[:, 0]] == label[found[:, 1]]
+        for t in range(p.tables):
+            same = entries[found[:, 0], t, :, None] == entries[found[:, 1], t, None, :]
+            here = table[found[:, 0]]
+            same &= ((t < here)[:, None] | ((t == here)[:, None] & (entries[found[:, 0], t] < cell[found[:, 0], None])))[:, :, None]
             first &= ~same.any(axis=(1, 2))
         found = found[first]
-        total = np.zeros(len(rows), np.int64)
+        total = np.zeros(n, np.int64)
         np.add.at(total, found[:, 0], weight[found[:, 1]])
         np.add.at(total, found[:, 1], weight[found[:, 0]])
-        group = np.arange(len(rows))
+        group = np.arange(n)
         while True:
             lower = group.copy()
             np.minimum.at(lower, found[:, 0], group[found[:, 1]])
@@ -205,7 +208,14 @@ def _counted(p: LatticeHash):
                 break
             group = lower
         used = np.flatnonzero(total)
-        return pd.DataFrame({"node": nodes[used], "hub": nodes[group[used]], "links": total[used]})
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([nodes[i] for i in used], pa.binary()),
+                pa.array([nodes[i] for i in group[used]], pa.binary()),
+                pa.array(total[used]),
+            ],
+            ["node", "hub", "links"],
+        )
 
     return run
 
@@ -240,8 +250,11 @@ def near_duplicate_vectors(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda other: F.struct(F.least("block", other).alias("x"), F.greatest("block", other).alias("y")),
     )
-    spread = rows.select(*cell, "node", "copies", "vector", "cells", "block", F.inline(pairs))
-    found = spread.groupBy(*cell, "x", "y").applyInPandas(_counted(p), "node binary, hub binary, links bigint")
+    spread = rows.withColumn("of", F.xxhash64("label"))
+    spread = spread.select("of", "label", "table", "cell", "node", "copies", "vector", "cells", "block", F.inline(pairs))
+    found = map_groups(
+        spread, ["of", "table", "cell", "x", "y"], _counted(p), "node binary, hub binary, links bigint"
+    )
     found = written(found, f"{folder}/found")
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))

@@ -25,7 +25,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +32,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.alignment import ordered_similarity
 from corpusloom.llm.components import components
 from corpusloom.llm.files import shared_folder, written
+from corpusloom.llm.groups import map_groups
 from corpusloom.llm.shingles import mix, numbered, shingles_of_words, word_hashes
 
 
@@ -126,33 +126,51 @@ def _sketches(docs: DataFrame, p: OrderMinHash) -> DataFrame:
 def _alike(p: OrderMinHash, low: int, high: int):
     """Compares two blocks of a bucket: which partners of each row stand at low to high in likeness."""
     limit = p.similarity - p.margin
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        left = rows[rows["block"] == rows["x"]].drop_duplicates("node")
-        right = left if rows["x"].iloc[0] == rows["y"].iloc[0] else rows[rows["block"] == rows["y"]].drop_duplicates("node")
-        found = []
-        for one, other in ((left, right),) if left is right else ((left, right), (right, left)):
-            if not len(one) or not len(other):
+    least = p.signature * (limit + (1 - limit) / 256)
+
+    def run(rows: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+        nodes = rows["node"].to_pylist()
+        classes = rows["component"].combine_chunks().dictionary_encode().indices.to_numpy()
+        signatures = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint8).reshape(len(nodes), -1)
+        own, x, y = (rows[c].to_numpy() for c in ("block", "x", "y"))
+        a: list[bytes] = []
+        b: list[bytes | None] = []
+
+        def pick(i: int, near: np.ndarray) -> None:
+            """``near`` from the most alike partner on."""
+            for j in near[low:high]:
+                if classes[i] != classes[j]:
+                    a.append(min(nodes[i], nodes[j]))
+                    b.append(max(nodes[i], nodes[j]))
+            if (classes[near[high:]] != classes[i]).any():
+                a.append(nodes[i])
+                b.append(None)
+
+        sizes = np.diff(starts, append=len(nodes))
+        pairs = starts[sizes == 2]
+        if low == 0 and len(pairs):
+            likely = (signatures[pairs] == signatures[pairs + 1]).sum(axis=1) >= least
+            for i in pairs[likely & (classes[pairs] != classes[pairs + 1])]:
+                pick(i, np.array([i + 1]))
+        for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
+            at = np.arange(start, start + size)
+            if (classes[at] == classes[start]).all():
                 continue
-            mine = np.frombuffer(b"".join(one["signature"]), np.uint8).reshape(len(one), -1)
-            theirs = np.frombuffer(b"".join(other["signature"]), np.uint8).reshape(len(other), -1)
-            agree = np.zeros((len(one), len(other)), np.int16)
-            for k in range(mine.shape[1]):
-                agree += mine[:, k, None] == theirs[None, :, k]
-            nodes, partners = one["node"].to_numpy(), other["node"].to_numpy()
-            classes, others = one["component"].to_numpy(), other["component"].to_numpy()
-            least = p.signature * (limit + (1 - limit) / 256)
-            for i in range(len(one)):
-                near = np.flatnonzero(agree[i] >= least)
-                near = near[partners[near] != nodes[i]]
-                near = near[np.argsort(-agree[i, near], kind="stable")]
-                more = near[high:]
-                for j in near[low:high]:
-                    if classes[i] != others[j]:
-                        found.append((min(nodes[i], partners[j]), max(nodes[i], partners[j])))
-                if len(more) and (others[more] != classes[i]).any():
-                    found.append((nodes[i], None))
-        return pd.DataFrame(found, columns=["a", "b"]).drop_duplicates()
+            if x[start] == y[start]:
+                sides = [(at, at)]
+            else:
+                left, right = at[own[at] == x[start]], at[own[at] == y[start]]
+                sides = [(left, right), (right, left)]
+            for one, other in sides:
+                agree = np.zeros((len(one), len(other)), np.int16)
+                for k in range(signatures.shape[1]):
+                    agree += signatures[one, k, None] == signatures[None, other, k]
+                if one is other:
+                    np.fill_diagonal(agree, 0)
+                for i in np.flatnonzero((agree >= least).any(axis=1)):
+                    near = np.flatnonzero(agree[i] >= least)
+                    pick(one[i], other[near[np.argsort(-agree[i, near], kind="stable")]])
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
     return run
 
@@ -167,8 +185,8 @@ def _likely_pairs(buckets: DataFrame, classes: DataFrame, p: OrderMinHash, low:
         lambda other: F.struct(F.least("block", other).alias("x"), F.greatest("block", other).alias("y")),
     )
     spread = spread.select("table", "bucket", "node", "component", "signature", "block", F.inline(pairs))
-    compared = spread.groupBy("table", "bucket", "x", "y").applyInPandas(_alike(p, low, high), "a binary, b binary")
-    return compared.distinct()
+    found = map_groups(spread, ["table", "bucket", "x", "y"], _alike(p, low, high), "a binary, b binary")
+    return found.distinct()
 
 
 def _aligned(pairs: DataFrame, texts: DataFrame, p: OrderMinHash) -> DataFrame:

@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import embedding_dup, mixing, near_dup, secrets, sharding, token_files
+from corpusloom.llm import (
+    embedding_dup,
+    html_text,
+    mixing,
+    near_dup,
+    secrets,
+    sharding,
+    token_files,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,18 +80,49 @@ def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract_text(table(spark, sf_dir, "pages"))
+    return found.select(F.col("key").alias("page_id"), "text", F.length("text").alias("n_chars"))
+
+
 def op9_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embedding_dup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
     return found.select(F.col("key").alias("vec_id"), "n_links", "component_id", "kept")
 
 
+# The rules that the query is given.
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+#: A host with a label that holds one of these words is listed as blocked.
+LISTED_WORDS = r"(^|[.-])(adult|ads|bets|casino|pills|spam)([.-]|$)"
+
+
+def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules, and a block list made from the hosts of the pages themselves."""
+    pages = table(spark, sf_dir, "pages")
+    host = F.lower(F.regexp_extract("url", "://([^/?#]+)", 1))
+    listed = pages.select(host.alias("host")).where(F.col("host").rlike(LISTED_WORDS)).distinct()
+    listed = listed.select("host", F.lit("").alias("path"), F.lit("block").alias("verdict"), F.lit(True).alias("listed"))
+    rules = spark.range(1).select(
+        F.inline(F.array(*[F.struct(*map(F.lit, rule), F.lit(False)) for rule in URL_RULES]))
+    ).toDF("host", "path", "verdict", "listed")
+    found = url_filter.judge(pages, rules.unionByName(listed))
+    return found.select(F.col("key").alias("page_id"), "host", "path", "rule", "verdict", "listed")
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
     "op2_secret_spans": op2_secret_spans,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_mixed_sources": op4_mixed_sources,
     "op5_shards": op5_shards,
+    "op7_visible_text": op7_visible_text,
     "op9_embedding_duplicates": op9_embedding_duplicates,
+    "op10_url_verdicts": op10_url_verdicts,
 }
 
 ORACLES: dict[str, str] = {}
