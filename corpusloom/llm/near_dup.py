@@ -4,8 +4,8 @@ A text is the sequence of its 5-word shingles, repeats numbered. For each of sev
 tables a hash picks the smallest shingles, and these are kept *in the order of the text*:
 two texts share a key only if the same shingles stand in the same order, so keys follow
 edit similarity rather than set overlap. Texts that share a key in some table are
-compared by a small signature, likely pairs by a banded alignment of their shingle
-sequences: common subsequence over union, at least 0.8. Linked texts form classes.
+compared by the overlap of samples of their shingles, likely pairs by a banded alignment of
+their shingle sequences: common subsequence over union, at least 0.8. Linked texts form classes.
 
 Equal texts are one node (by 128 bits of SHA-256) before any comparison. Within a bucket
 signatures are compared in blocks inside the tasks; only likely pairs of texts that are
@@ -45,11 +45,13 @@ class OrderMinHash:
     similarity: float = 0.8
     tables: int = 20
     per_key: int = 5
-    signature: int = 96
-    #: Signatures are estimates: pairs this far below the similarity are aligned as well.
-    margin: float = 0.12
+    #: Shingle hashes kept of a text, at most about. Up to this length the overlap of two
+    #: texts is exact; of longer texts the share 1/2, 1/4, ... with the smallest hashes is kept.
+    signature: int = 256
+    #: Sampled overlaps are estimates: pairs this far below the similarity are aligned as well.
+    margin: float = 0.1
     #: Rows of a block of signatures that one task compares with another.
-    block: int = 512
+    block: int = 256
     #: Alike partners of a text in the first slice; a slice is four times the one before.
     first_slice: int = 2
 
@@ -61,34 +63,71 @@ def _hash(shingles: np.ndarray, row: np.ndarray) -> np.ndarray:
     return (shingles[None, :] * row[:, None]) >> np.uint64(32)
 
 
+def levels(sizes: np.ndarray, signature: int) -> np.ndarray:
+    """How often the sample of a text of so many shingles is halved."""
+    return np.maximum(0, np.ceil(np.log2(np.maximum(sizes, 1) / signature))).astype(np.int64)
+
+
 class Sketcher:
     def __init__(self, p: OrderMinHash):
         self.p = p
-        odd = mix(np.arange(1, p.signature + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
-        self.factors = odd | np.uint64(1)
+        odd = mix(np.arange(1, p.tables + 2, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
+        self.factors, self.sample = odd[1:], odd[:1]
 
     def sketch(self, shingles: np.ndarray) -> tuple[bytes, np.ndarray]:
-        """Signature of one byte per hash, and a key per table."""
+        """Sampled hashes as u32, and a key per table."""
         p = self.p
-        least = np.full(p.signature, np.iinfo(np.uint64).max, np.uint64)
         places = [[] for _ in range(p.tables)]
         for at in range(0, len(shingles), _CHUNK):
             values = _hash(shingles[at : at + _CHUNK], self.factors)
-            np.minimum(least, values.min(axis=1), out=least)
             take = min(p.per_key, values.shape[1])
-            found = np.argpartition(values[: p.tables], take - 1, axis=1)[:, :take] + at
+            found = np.argpartition(values, take - 1, axis=1)[:, :take] + at
             for table in range(p.tables):
                 places[table].append(found[table])
         chosen = np.array([np.concatenate(x) for x in places])
         if chosen.shape[1] > p.per_key:
-            values = (shingles[chosen] * self.factors[: p.tables, None]) >> np.uint64(32)
+            values = (shingles[chosen] * self.factors[:, None]) >> np.uint64(32)
             best = np.argpartition(values, p.per_key - 1, axis=1)[:, : p.per_key]
             chosen = np.take_along_axis(chosen, best, axis=1)
         chosen.sort(axis=1)
         keys = np.zeros(p.tables, np.uint64)
         for column in shingles[chosen].T:
             keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + column)
-        return (least & np.uint64(255)).astype(np.uint8).tobytes(), keys
+        sample = _hash(shingles, self.sample)[0]
+        level = int(levels(np.array([len(shingles)]), p.signature)[0])
+        return sample[sample < np.uint64(1 << 32 >> level)].astype("<u4").tobytes(), keys
+
+
+def overlaps(samples: list[np.ndarray], level: np.ndarray, p: OrderMinHash) -> np.ndarray:
+    """How far the estimated similarity of each two texts is above what asks for an alignment.
+
+    Two samples are compared at the level of the sparser one. Texts more than one level
+    apart differ too much in length.
+    """
+    above = np.full((len(samples), len(samples)), -1.0, np.float32)
+    for at_level in np.unique(level):
+        rows = np.flatnonzero((level == at_level) | (level == at_level - 1))
+        cut = 1 << 32 >> int(at_level)
+        kept = [samples[i][samples[i] < cut] for i in rows]
+        size = np.array([len(x) for x in kept])
+        values, column, times = np.unique(np.concatenate(kept), return_inverse=True, return_counts=True)
+        shared = np.cumsum(times > 1) - 1
+        row = np.repeat(np.arange(len(rows)), size)[times[column] > 1]
+        column = shared[column[times[column] > 1]]
+        both = np.zeros((len(rows), len(rows)), np.float32)
+        for first in range(0, int(column.max(initial=-1)) + 1, _CHUNK):
+            own = (column >= first) & (column < first + _CHUNK)
+            block = np.zeros((len(rows), _CHUNK), np.float32)
+            block[row[own], column[own] - first] = 1
+            both += block @ block.T
+        union = np.maximum(size[:, None] + size[None, :] - both, 1)
+        limit = p.similarity - (p.margin if at_level else 1e-6)
+        here = np.maximum(level[rows][:, None], level[rows][None, :]) == at_level
+        part = above[np.ix_(rows, rows)]
+        part[here] = (both / union - limit)[here]
+        above[np.ix_(rows, rows)] = part
+    np.fill_diagonal(above, -1)
+    return above
 
 
 def digest(text: Column) -> Column:
@@ -112,26 +151,26 @@ def _sketches(docs: DataFrame, p: OrderMinHash) -> DataFrame:
                         part["key"],
                         part["node"],
                         pa.array([s for s, _ in made], pa.binary()),
+                        pa.array(np.maximum(np.diff(first) - p.words + 1, 1), pa.int32()),
                         pa.array([None if k is None else k.view(np.int64) for _, k in made], pa.list_(pa.int64())),
                     ],
-                    ["key", "node", "signature", "keys"],
+                    ["key", "node", "signature", "size", "keys"],
                 )
 
     kind = docs.schema["key"].dataType.simpleString()
     return docs.select("key", "node", "text").mapInArrow(
-        run, f"key {kind}, node binary, signature binary, keys array<bigint>"
+        run, f"key {kind}, node binary, signature binary, size int, keys array<bigint>"
     )
 
 
 def _alike(p: OrderMinHash, low: int, high: int):
     """Compares two blocks of a bucket: which partners of each row stand at low to high in likeness."""
-    limit = p.similarity - p.margin
-    least = p.signature * (limit + (1 - limit) / 256)
 
     def run(rows: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
         nodes = rows["node"].to_pylist()
         classes = rows["component"].combine_chunks().dictionary_encode().indices.to_numpy()
-        signatures = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint8).reshape(len(nodes), -1)
+        samples = [np.frombuffer(s, "<u4") for s in rows["signature"].to_pylist()]
+        level = levels(rows["size"].to_numpy(), p.signature)
         own, x, y = (rows[c].to_numpy() for c in ("block", "x", "y"))
         a: list[bytes] = []
         b: list[bytes | None] = []
@@ -146,30 +185,16 @@ def _alike(p: OrderMinHash, low: int, high: int):
                 a.append(nodes[i])
                 b.append(None)
 
-        sizes = np.diff(starts, append=len(nodes))
-        pairs = starts[sizes == 2]
-        if low == 0 and len(pairs):
-            likely = (signatures[pairs] == signatures[pairs + 1]).sum(axis=1) >= least
-            for i in pairs[likely & (classes[pairs] != classes[pairs + 1])]:
-                pick(i, np.array([i + 1]))
-        for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-            at = np.arange(start, start + size)
-            if (classes[at] == classes[start]).all():
+        for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(nodes)], strict=True):
+            at = np.arange(start, stop)
+            if len(at) < 2 or (classes[at] == classes[start]).all():
                 continue
-            if x[start] == y[start]:
-                sides = [(at, at)]
-            else:
-                left, right = at[own[at] == x[start]], at[own[at] == y[start]]
-                sides = [(left, right), (right, left)]
-            for one, other in sides:
-                agree = np.zeros((len(one), len(other)), np.int16)
-                for k in range(signatures.shape[1]):
-                    agree += signatures[one, k, None] == signatures[None, other, k]
-                if one is other:
-                    np.fill_diagonal(agree, 0)
-                for i in np.flatnonzero((agree >= least).any(axis=1)):
-                    near = np.flatnonzero(agree[i] >= least)
-                    pick(one[i], other[near[np.argsort(-agree[i, near], kind="stable")]])
+            above = overlaps([samples[i] for i in at], level[at], p)
+            if x[start] != y[start]:
+                above[own[at][:, None] == own[at][None, :]] = -1  # texts of one block meet in another group
+            for i in np.flatnonzero((above >= 0).any(axis=1)):
+                near = np.flatnonzero(above[i] >= 0)
+                pick(at[i], at[near[np.argsort(-above[i, near], kind="stable")]])
         return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
     return run
@@ -177,14 +202,14 @@ def _alike(p: OrderMinHash, low: int, high: int):
 
 def _likely_pairs(buckets: DataFrame, classes: DataFrame, p: OrderMinHash, low: int, high: int) -> DataFrame:
     """Pairs worth an alignment, and (node, NULL) where a later slice holds more."""
-    rows = buckets.join(classes.select("node", "component"), "node")
+    rows = buckets.join(classes, "node")
     spread = rows.withColumn("blocks", F.ceil(F.col("n") / p.block).cast("int"))
     spread = spread.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda other: F.struct(F.least("block", other).alias("x"), F.greatest("block", other).alias("y")),
     )
-    spread = spread.select("table", "bucket", "node", "component", "signature", "block", F.inline(pairs))
+    spread = spread.select("table", "bucket", "node", "component", "signature", "size", "block", F.inline(pairs))
     found = map_groups(spread, ["table", "bucket", "x", "y"], _alike(p, low, high), "a binary, b binary")
     return found.distinct()
 
@@ -232,18 +257,20 @@ def near_duplicates(
     narrow = narrow.withColumn("node", digest(F.col("text")))
     sketches = written(_sketches(narrow, p), f"{folder}/sketches")
 
-    # One row per different text; the least key only picks which of equal rows that is.
+    # One row per different text.
     sketched = sketches.where("signature IS NOT NULL")
-    nodes = sketched.groupBy("node").agg(F.first("keys").alias("keys"), F.first("signature").alias("signature"))
-    entries = nodes.select("node", "signature", F.posexplode("keys").alias("table", "bucket"))
+    entries = sketched.select("node", "keys").dropDuplicates(["node"])
+    entries = entries.select("node", F.posexplode("keys").alias("table", "bucket"))
     entries = written(entries, f"{folder}/entries")
     sizes = entries.groupBy("table", "bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = written(entries.join(sizes, ["table", "bucket"]), f"{folder}/buckets")
 
     involved = buckets.select("node").distinct()
+    samples = sketched.select("node", "signature", "size").join(involved, "node", "left_semi").dropDuplicates(["node"])
     texts = narrow.select("node", "text").join(involved, "node", "left_semi").dropDuplicates(["node"])
     texts = written(texts, f"{folder}/texts")
-    classes = texts.select("node", F.col("node").alias("component"))
+    samples = written(samples, f"{folder}/samples")
+    classes = samples.withColumn("component", F.col("node"))
     links = None
     low, step, turn = 0, p.first_slice, 0
     while True:
@@ -254,14 +281,14 @@ def near_duplicates(
         links = aligned if links is None else links.unionByName(aligned)
         if not aligned.isEmpty():
             joined = components(links)
-            classes = texts.select("node").join(joined, "node", "left")
-            classes = classes.select("node", F.coalesce("component", "node").alias("component"))
+            classes = samples.join(joined, "node", "left")
+            classes = classes.withColumn("component", F.coalesce("component", "node"))
             classes = written(classes, f"{folder}/classes-{turn}")
         low, step, turn = low + step, step * 4, turn + 1
         if not more:
             break
 
-    rows = sketches.select("key", "node").join(classes, "node", "left")
+    rows = sketches.select("key", "node").join(classes.select("node", "component"), "node", "left")
     rows = rows.select("key", F.coalesce("component", "node").alias("component"))
     ids = rows.groupBy("component").agg(F.min("key").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     out = rows.join(ids, "component")
