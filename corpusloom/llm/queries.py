@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import (
+    decontaminate,
     embedding_dup,
     html_text,
     mixing,
@@ -80,6 +81,13 @@ def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "cosine", "common", "answer", "first_word", "words"
+    )
+
+
 def op7_visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_text.extract_text(table(spark, sf_dir, "pages"))
     return found.select(F.col("key").alias("page_id"), "text", F.length("text").alias("n_chars"))
@@ -120,6 +128,7 @@ QUERIES: dict[str, Query] = {
     "op3_near_duplicates": op3_near_duplicates,
     "op4_mixed_sources": op4_mixed_sources,
     "op5_shards": op5_shards,
+    "op6_contaminated": op6_contaminated,
     "op7_visible_text": op7_visible_text,
     "op9_embedding_duplicates": op9_embedding_duplicates,
     "op10_url_verdicts": op10_url_verdicts,

@@ -1,6 +1,7 @@
 """Word shingles of texts as 64-bit numbers, for many texts at once in numpy.
 
-Words are runs of other bytes than ASCII white space in the lower-cased text.
+Words are runs of other bytes than ASCII white space in the lower-cased text, or runs of
+ASCII letters and digits and bytes of other characters where punctuation is to be left out.
 """
 
 from __future__ import annotations
@@ -29,7 +30,10 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def word_hashes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+_ALNUM = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
+
+
+def word_hashes(texts: Sequence[str], *, alnum: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, and where the words of each text begin (one more at the end).
 
     The hash of a word is a difference of prefix sums of byte x power, scaled to the
@@ -37,7 +41,7 @@ def word_hashes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """
     blobs = [text.lower().encode() for text in texts]
     data = np.frombuffer(b"\n".join(blobs) + b"\n", np.uint8)
-    word = data > 32
+    word = _ALNUM[data] if alnum else data > 32
     edge = np.flatnonzero(np.diff(word, prepend=False))
     starts, ends = edge[0::2], edge[1::2]
     sums = np.zeros(len(data) + 1, np.uint64)
