@@ -11,6 +11,7 @@ from corpusloom.llm import (
     decontaminate,
     embedding_dup,
     html_text,
+    language_id,
     mixing,
     near_dup,
     secrets,
@@ -93,6 +94,12 @@ def op7_visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("page_id"), "text", F.length("text").alias("n_chars"))
 
 
+def op8_page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language_id.fit(table(spark, sf_dir, "documents"), key="doc_id", text="text", label="lang")
+    found = language_id.identify(language_id.page_rows(table(spark, sf_dir, "pages")), model, html=True)
+    return found.select(F.col("key").alias("page_id"), "language", "probability", "fit", "letters", "accepted")
+
+
 def op9_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embedding_dup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
     return found.select(F.col("key").alias("vec_id"), "n_links", "component_id", "kept")
@@ -130,6 +137,7 @@ QUERIES: dict[str, Query] = {
     "op5_shards": op5_shards,
     "op6_contaminated": op6_contaminated,
     "op7_visible_text": op7_visible_text,
+    "op8_page_languages": op8_page_languages,
     "op9_embedding_duplicates": op9_embedding_duplicates,
     "op10_url_verdicts": op10_url_verdicts,
 }
