@@ -29,6 +29,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -43,20 +44,23 @@ BLOCK_IDS = 1 << 20
 #: Ids in a file, about.
 FILE_IDS = 1 << 25
 #: Words whose ids a Python worker remembers before it starts anew.
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 1_000_000
 
 #: The tokenizer's rule of words, written for letters up to U+024F, where the regular
 #: expression engines agree on classes. Other texts go to the tokenizer whole.
 _WORD = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 _PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ɏ]*")
+_SPACES = re.compile(r"\s ")
 
 
 class WordCache:
     """Encodes whole texts with the tokenizers library, each distinct word once.
 
     Byte-pair merges never cross words, so the ids of a text are those of its words in
-    turn. Words that are new are handed to the tokenizer many at a time, on lines of
-    their own.
+    turn. A space after a visible character always begins a word, so texts are first cut
+    at spaces, and the pieces of a batch are told apart by Arrow's dictionary encoding;
+    only pieces not seen before are cut into words, and only new words go to the
+    tokenizer, many at a time, on lines of their own.
     """
 
     def __init__(self, path: str, special_as_text: bool = True):
@@ -66,40 +70,86 @@ class WordCache:
         self.tokenizer.encode_special_tokens = special_as_text
         #: Of tokens that are cut out before words are: texts that hold one go to the tokenizer whole.
         self.special = [] if special_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.line_end = self.whole("\n")
         self.ids: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        encoded = self.tokenizer.encode("\n".join(words), add_special_tokens=False)
-        raw = np.array(encoded.ids, "<u4").tobytes()
-        place = np.array(encoded.word_ids)
-        if place[-1] != 2 * len(words) - 2:
+        encoded = self.tokenizer.encode_batch_fast(["\n".join(words)], add_special_tokens=False)[0]
+        ids = np.array(encoded.ids, "<u4")
+        ends = np.flatnonzero(ids == np.frombuffer(self.line_end, "<u4")[0])
+        if len(self.line_end) != 4 or len(ends) != len(words) - 1:
             self.ids.update((word, self.whole(word)) for word in words)
             return
-        cuts = (4 * np.searchsorted(place, np.arange(2 * len(words)))).tolist()
-        self.ids.update((word, raw[cuts[2 * i] : cuts[2 * i + 1]]) for i, word in enumerate(words))
+        raw = ids.tobytes()
+        cuts = [-4, *(4 * ends).tolist(), len(raw)]
+        self.ids.update((word, raw[cuts[i] + 4 : cuts[i + 1]]) for i, word in enumerate(words))
+
+    def _lookup(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces of plain text, each of which begins and ends with a word."""
+        known = self.ids
+        new = [piece for piece in pieces if piece not in known]
+        for at in range(0, len(new), 4000):
+            some = new[at : at + 4000]
+            found = [_WORD.findall(piece) for piece in some]
+            words = set().union(*found).difference(known)
+            spaces = [word for word in words if word.isspace()]
+            known.update((word, self.whole(word)) for word in spaces)
+            lines = list(words.difference(spaces))
+            if lines:
+                self._learn(lines)
+            for piece, own in zip(some, found, strict=True):
+                if len(own) != 1:
+                    known[piece] = b"".join([known[word] for word in own])
+        return [known[piece] for piece in pieces]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian u32."""
         if len(self.ids) > REMEMBERED_WORDS:
             self.ids.clear()
-        plain = [
-            _WORD.findall(text) if _PLAIN.fullmatch(text) and not any(s in text for s in self.special) else None
+        out: list[bytes | None] = [
+            None if _PLAIN.fullmatch(text) and not any(s in text for s in self.special) else self.whole(text)
             for text in texts
         ]
-        new = {word for words in plain if words for word in words}.difference(self.ids)
-        spaces = [word for word in new if word.isspace()]
-        self.ids.update((word, self.whole(word)) for word in spaces)
-        lines = list(new.difference(spaces))
-        for i in range(0, len(lines), 2000):
-            self._learn(lines[i : i + 2000])
-        known = self.ids.__getitem__
-        return [
-            self.whole(text) if words is None else b"".join(map(known, words))
-            for text, words in zip(texts, plain, strict=True)
-        ]
+        plain = [i for i, ids in enumerate(out) if ids is None]
+        cut = [i for i in plain if not _SPACES.search(texts[i])]
+        for i, ids in zip(cut, self._pieces([texts[i] for i in cut]), strict=True):
+            out[i] = ids
+        for i in plain:
+            if out[i] is None:  # white space before a space: the text is one piece, which is not remembered
+                words = _WORD.findall(texts[i])
+                self._lookup(list(dict.fromkeys(words)))
+                out[i] = b"".join([self.ids[word] for word in words])
+        return out
+
+    def _pieces(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
+        found = pc.split_pattern(pa.array(texts, pa.large_string()), " ", max_splits=None)
+        offsets = found.offsets.to_numpy()
+        coded = found.flatten().dictionary_encode()
+        index = coded.indices.to_numpy()
+        # The first piece of a text has no space before it.
+        names = coded.dictionary.to_numpy(zero_copy_only=False)
+        first = names[index[offsets[:-1]]].tolist()
+        different = list(dict.fromkeys(first))
+        ids_of = dict(zip(different, self._lookup(different), strict=True))
+        heads = [ids_of[piece] for piece in first]
+        later = np.ones(len(index), bool)
+        later[offsets[:-1]] = False
+        used, index = np.unique(index[later], return_inverse=True)
+        ids = self._lookup((" " + names[used]).tolist())
+        values = np.frombuffer(b"".join(ids), "<u4")
+        sizes = np.array([len(x) // 4 for x in ids], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        lengths = sizes[index]
+        ends = np.cumsum(lengths)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[index] - (ends - lengths), lengths)
+        body = values[at].tobytes()
+        ends = np.concatenate([[0], ends])[offsets - np.arange(len(offsets))]
+        return [head + body[4 * a : 4 * b] for head, a, b in zip(heads, ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
 _caches: dict[tuple[str, bool], WordCache] = {}
