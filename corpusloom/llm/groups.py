@@ -29,9 +29,12 @@ def map_groups(
     keys: Sequence[str],
     run: Callable[[pa.Table, np.ndarray], pa.RecordBatch],
     schema: str,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Apply ``run(rows, starts)`` to batches of whole groups; the keys are numbers without NULL.
 
+    Rows of a group come in the given order.
+
     A task holds one batch and one group at a time, so groups should be of bounded size.
     """
 
@@ -53,4 +56,4 @@ def map_groups(
             table = pa.Table.from_batches(held)
             yield run(table, _starts(table, keys))
 
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(over, schema)
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(over, schema)

@@ -8,10 +8,11 @@ compared by the overlap of samples of their shingles, likely pairs by a banded a
 their shingle sequences: common subsequence over union, at least 0.8. Linked texts form classes.
 
 Equal texts are one node (by 128 bits of SHA-256) before any comparison. Within a bucket
-signatures are compared in blocks inside the tasks; only likely pairs of texts that are
-not yet in one class leave a task, the most alike partners of each text first, then in
-growing slices until none is left. So a large group of near copies is joined by about as
-many pairs as it has members, and no partner is dropped.
+samples are compared in blocks inside the tasks. First the pairs of a spanning forest of
+the most alike texts leave a task, so a large group of near copies is joined by about as
+many pairs as it has members. Then, of texts that are still in different classes, all
+likely pairs follow, the most alike partners of each text first, in growing slices until
+none is left: no partner is dropped.
 
 Defined cases: a NULL text counts as empty; texts without words are in a class with
 equal texts only; a NULL key is a member of its class but never its id unless all keys
@@ -163,8 +164,28 @@ def _sketches(docs: DataFrame, p: OrderMinHash) -> DataFrame:
     )
 
 
-def _alike(p: OrderMinHash, low: int, high: int):
-    """Compares two blocks of a bucket: which partners of each row stand at low to high in likeness."""
+def spanning_forest(above: np.ndarray, classes: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs with ``above`` >= 0 that join all classes such pairs can join, the highest where there is a choice."""
+    n = len(above)
+    tied = np.where(classes[:, None] == classes[None, :], np.float32(2), above)
+    best, parent, outside = np.full(n, -1, np.float32), np.full(n, -1), np.ones(n, bool)
+    found = []
+    for _ in range(n):
+        i = int(np.argmax(np.where(outside, best, -2)))
+        if best[i] >= 0 and classes[i] != classes[parent[i]]:
+            found.append((i, int(parent[i])))
+        outside[i] = False
+        closer = tied[i] > best
+        best[closer], parent[closer] = tied[i][closer], i
+    return found
+
+
+def _alike(p: OrderMinHash, low: int, high: int, first: bool):
+    """Compares two blocks of a bucket.
+
+    In the first turn: a spanning forest, and partners from low to high of sampled texts;
+    later partners from low to high of all texts.
+    """
 
     def run(rows: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
         nodes = rows["node"].to_pylist()
@@ -175,15 +196,9 @@ def _alike(p: OrderMinHash, low: int, high: int):
         a: list[bytes] = []
         b: list[bytes | None] = []
 
-        def pick(i: int, near: np.ndarray) -> None:
-            """``near`` from the most alike partner on."""
-            for j in near[low:high]:
-                if classes[i] != classes[j]:
-                    a.append(min(nodes[i], nodes[j]))
-                    b.append(max(nodes[i], nodes[j]))
-            if (classes[near[high:]] != classes[i]).any():
-                a.append(nodes[i])
-                b.append(None)
+        def propose(i: int, j: int) -> None:
+            a.append(min(nodes[i], nodes[j]))
+            b.append(max(nodes[i], nodes[j]))
 
         for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(nodes)], strict=True):
             at = np.arange(start, stop)
@@ -192,15 +207,31 @@ def _alike(p: OrderMinHash, low: int, high: int):
             above = overlaps([samples[i] for i in at], level[at], p)
             if x[start] != y[start]:
                 above[own[at][:, None] == own[at][None, :]] = -1  # texts of one block meet in another group
+            if not (above >= 0).any():
+                continue
+            if first:
+                for i, j in spanning_forest(above, classes[at]):
+                    propose(at[i], at[j])
             for i in np.flatnonzero((above >= 0).any(axis=1)):
                 near = np.flatnonzero(above[i] >= 0)
-                pick(at[i], at[near[np.argsort(-above[i, near], kind="stable")]])
+                if first and not level[at[i]]:
+                    near = near[level[at[near]] > 0]
+                # Places do not change when classes join, so that no partner slips between two slices.
+                near = at[near[np.argsort(-above[i, near], kind="stable")]]
+                apart = classes[near] != classes[at[i]]
+                for j in near[low:high][apart[low:high]]:
+                    propose(at[i], j)
+                if apart[high:].any():
+                    a.append(nodes[at[i]])
+                    b.append(None)
         return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
     return run
 
 
-def _likely_pairs(buckets: DataFrame, classes: DataFrame, p: OrderMinHash, low: int, high: int) -> DataFrame:
+def _likely_pairs(
+    buckets: DataFrame, classes: DataFrame, p: OrderMinHash, low: int, high: int, first: bool
+) -> DataFrame:
     """Pairs worth an alignment, and (node, NULL) where a later slice holds more."""
     rows = buckets.join(classes, "node")
     spread = rows.withColumn("blocks", F.ceil(F.col("n") / p.block).cast("int"))
@@ -210,7 +241,7 @@ def _likely_pairs(buckets: DataFrame, classes: DataFrame, p: OrderMinHash, low:
         lambda other: F.struct(F.least("block", other).alias("x"), F.greatest("block", other).alias("y")),
     )
     spread = spread.select("table", "bucket", "node", "component", "signature", "size", "block", F.inline(pairs))
-    found = map_groups(spread, ["table", "bucket", "x", "y"], _alike(p, low, high), "a binary, b binary")
+    found = map_groups(spread, ["table", "bucket", "x", "y"], _alike(p, low, high, first), "a binary, b binary", ["node"])
     return found.distinct()
 
 
@@ -243,6 +274,16 @@ def _aligned(pairs: DataFrame, texts: DataFrame, p: OrderMinHash) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary, similarity double")
 
 
+def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes after joining those that links connect."""
+    of = classes.select("node", "component")
+    ends = links.join(of.withColumnsRenamed({"node": "a", "component": "one"}), "a")
+    ends = ends.join(of.withColumnsRenamed({"node": "b", "component": "other"}), "b")
+    joined = components(ends.select(F.col("one").alias("a"), F.col("other").alias("b")))
+    joined = joined.select(F.col("node").alias("component"), F.col("component").alias("new"))
+    return classes.join(joined, "component", "left").withColumn("component", F.coalesce("new", "component")).drop("new")
+
+
 def near_duplicates(
     docs: DataFrame, p: OrderMinHash = OrderMinHash(), *, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -271,20 +312,18 @@ def near_duplicates(
     texts = written(texts, f"{folder}/texts")
     samples = written(samples, f"{folder}/samples")
     classes = samples.withColumn("component", F.col("node"))
-    links = None
     low, step, turn = 0, p.first_slice, 0
     while True:
-        found = written(_likely_pairs(buckets, classes, p, low, low + step), f"{folder}/pairs-{turn}")
-        more = not found.where("b IS NULL").isEmpty()
-        aligned = _aligned(found.where("b IS NOT NULL"), texts, p)
-        aligned = written(aligned, f"{folder}/links-{turn}")
-        links = aligned if links is None else links.unionByName(aligned)
+        found = _likely_pairs(buckets, classes, p, low, low + step, turn == 0)
+        found = written(found, f"{folder}/pairs-{turn}")
+        pairs = found.where("b IS NOT NULL")
+        if turn and found.isEmpty():
+            break
+        aligned = written(_aligned(pairs, texts, p), f"{folder}/links-{turn}")
+        more = not found.where("b IS NULL").isEmpty() if turn else not pairs.isEmpty()
         if not aligned.isEmpty():
-            joined = components(links)
-            classes = samples.join(joined, "node", "left")
-            classes = classes.withColumn("component", F.coalesce("component", "node"))
-            classes = written(classes, f"{folder}/classes-{turn}")
-        low, step, turn = low + step, step * 4, turn + 1
+            classes = written(_joined(classes, aligned), f"{folder}/classes-{turn}")
+        low, step, turn = (low + step, step * 4, turn + 1) if turn else (0, step, 1)
         if not more:
             break
 

@@ -4,7 +4,8 @@ In DataFrame functions only. Links are rows (node, hub): nodes of a hub are link
 start in shards by turns. In every round a hub counts its nodes per shard, a node prefers
 the shard where most of its neighbours are, and as many nodes move as quotas allow:
 movers of two shards may change places, and the free room of a shard is dealt to those
-who gain most. Rounds end when no node moves.
+who gain most. Every other round asks only for shards with room, for nodes whose
+neighbours sit in a full one. Rounds end when no node moves.
 
 Shards hold counts that differ by one at most. Nodes without links have no preference,
 so they are counted only, as room, and fill the shards at the end. A hub that has more
@@ -26,17 +27,26 @@ from corpusloom.llm.files import shared_folder, written
 from corpusloom.operators.ordering import Running, with_row_index, with_running
 
 
-def _best(counts: Column, shards: int, turn: Column) -> Column:
-    """Shard with the highest count; ties go round from ``turn``, so that hubs differ."""
-    return F.array_max(
-        F.transform(
-            counts, lambda n, s: F.struct(n.alias("n"), F.pmod(s + turn, F.lit(shards)).alias("rank"), s.alias("shard"))
+def _best(counts: Column, own: Column, turn: Column, free: list[bool]) -> Column:
+    """The shard with the highest count among those with room and the node's own.
+
+    Ties go to shards with room, then round from ``turn``, so that hubs differ.
+    """
+    shards = len(free)
+    room = F.array(*[F.lit(f) for f in free])
+
+    def ranked(n: Column, s: Column) -> Column:
+        rank = F.pmod(s + turn, F.lit(shards))
+        return F.struct(
+            F.when(room[s] | (s == own), n).otherwise(F.lit(-1)).alias("n"), room[s].alias("room"), rank.alias("rank"), s.alias("shard")
         )
-    )["shard"]
 
+    return F.array_max(F.transform(counts, ranked))["shard"]
 
-def _preferences(links: DataFrame, shard_of: DataFrame, shards: int) -> DataFrame:
+
+def _preferences(links: DataFrame, shard_of: DataFrame, free: list[bool]) -> DataFrame:
     """Linked nodes with their shard, the one they prefer and what they gain."""
+    shards = len(free)
     placed = links.join(shard_of, "node")
     per_hub = placed.groupBy("hub").agg(
         F.array(*[F.count_if(F.col("shard") == s) for s in range(shards)]).alias("counts")
@@ -44,7 +54,7 @@ def _preferences(links: DataFrame, shard_of: DataFrame, shards: int) -> DataFram
     seen = placed.join(per_hub, "hub").groupBy("node", "shard").agg(
         F.array(*[F.sum(F.col("counts")[s]) for s in range(shards)]).alias("counts"), F.min("hub").alias("hub")
     )
-    chosen = seen.withColumn("goal", _best(F.col("counts"), shards, F.xxhash64("hub")).cast("int"))
+    chosen = seen.withColumn("goal", _best(F.col("counts"), F.col("shard"), F.xxhash64("hub"), free).cast("int"))
     return chosen.select(
         "node", "hub", "shard", "goal", (F.col("counts")[F.col("goal")] - F.col("counts")[F.col("shard")]).alias("gain")
     )
@@ -83,23 +93,31 @@ def balanced_shards(
     links = written(links, f"{folder}/links")
     first = with_row_index(links.select("node").distinct(), ["node"])
     shard_of = written(first.select("node", (F.col("row_index") % shards).cast("int").alias("shard")), f"{folder}/round-0")
+    still = 0
     for turn in range(1, max_rounds + 1):
-        found = written(_preferences(links, shard_of, shards), f"{folder}/wishes-{turn}")
-        movers = found.where("goal <> shard")
         held = {row["shard"]: row["n"] for row in shard_of.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
-        room = F.array(*[F.lit(max(0, target[s] - held.get(s, 0))).cast("long") for s in range(shards)])
+        left = [max(0, target[s] - held.get(s, 0)) for s in range(shards)]
+        # In turn: wishes for any shard, so that nodes can change places, and for those with room.
+        free = [turn % 2 == 1 or n > 0 for n in left]
+        found = written(_preferences(links, shard_of, free), f"{folder}/wishes-{turn}")
+        movers = found.where("goal <> shard")
+        room = F.array(*[F.lit(n).cast("long") for n in left])
         wishes = movers.groupBy("shard", "goal").agg(F.count(F.lit(1)).alias("wish"), F.sum("gain").alias("gain"))
         quotas = written(_quotas(wishes, room, shards), f"{folder}/quotas-{turn}")
         if quotas.where("quota > 0").isEmpty():
-            break
+            still += 1
+            if still == 2 or (all(free) and all(left)):
+                break
+            continue
+        still = 0
         held_back = movers.join(F.broadcast(quotas.where("quota < wish")), ["shard", "goal"])
-        free = movers.join(F.broadcast(quotas.where("quota = wish")), ["shard", "goal"]).select("node", "goal")
+        going = movers.join(F.broadcast(quotas.where("quota = wish")), ["shard", "goal"]).select("node", "goal")
         order = ["shard", "goal", "loss", "hub", "node"]
         if not quotas.where("quota < wish AND quota > 0").isEmpty():
             held_back = held_back.withColumn("loss", -F.col("gain"))
             ranked = with_running(held_back, order, {"rank": Running("sum", F.lit(1))}, group_by=["shard", "goal"])
-            free = free.unionByName(ranked.where("rank < quota").select("node", "goal"))
-        moved = shard_of.join(free, "node", "left").select("node", F.coalesce("goal", "shard").alias("shard"))
+            going = going.unionByName(ranked.where("rank < quota").select("node", "goal"))
+        moved = shard_of.join(going, "node", "left").select("node", F.coalesce("goal", "shard").alias("shard"))
         shard_of = written(moved, f"{folder}/round-{turn}")
 
     held = {row["shard"]: row["n"] for row in shard_of.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
