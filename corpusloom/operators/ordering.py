@@ -21,6 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 _RANGE = "_range"
+#: How many groups of tasks are merged before the final merge.
+MERGE_WIDTH = 256
+#: Rows of a range, about: what a window sorts in one task. Ranges of wide rows hold fewer.
+RANGE_ROWS = 1_000_000
+#: Weight that counts as one row.
+WEIGHT_OF_ROW = 100
+#: Groups whose starts are a constant of a plan.
+MAX_GROUPS = 1000
 
 # Formats that keep every digit of a key on its way from a result into a plan.
 _EXACT = {
@@ -69,18 +77,29 @@ class KeyRanges:
         return F.element_at(constant, F.col(range_column) + 1)
 
 
-def _range_count(df: DataFrame, parts: int | None) -> int:
-    return parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _range_count(rows: DataFrame, weight: Column | None) -> int:
+    """Twice the shuffle partitions, more if a range would exceed ``RANGE_ROWS`` rows or weight."""
+    total = F.count(F.lit(1))
+    if weight is not None:
+        total = F.greatest(total, F.ceil(F.coalesce(F.sum(weight), F.lit(0)) / WEIGHT_OF_ROW))
+    size = rows.agg(total.alias("n")).first()["n"]
+    return max(2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_ROWS))
 
 
-def key_ranges(df: DataFrame, order_by: Sequence[str], parts: int | None = None) -> KeyRanges:
-    """Cut the key space into about ``parts`` ranges of similar size.
+def key_ranges(
+    df: DataFrame, order_by: Sequence[str], parts: int | None = None, weight: Column | None = None
+) -> KeyRanges:
+    """Cut the key space into ranges of similar numbers of rows.
 
-    Reads only the key columns. One row per range comes to the driver.
+    Reads only the key columns and ``weight``. The number of ranges follows the rows, so a
+    range stays small enough for one task at any size, and there are more ranges than
+    tasks. ``weight`` is what else a row brings along, such as tokens: their sum raises
+    the number of ranges. One row per range comes to the driver.
     """
+    parts = parts or _range_count(df, weight)
     keys = df.select(*order_by)
     found = (
-        keys.repartitionByRange(_range_count(df, parts), *order_by)
+        keys.repartitionByRange(parts, *order_by)
         .groupBy(F.spark_partition_id().alias("part"))
         .agg(F.to_json(F.min(F.struct(*order_by)), _EXACT).alias("first"), F.count(F.lit(1)).alias("rows"))
         .collect()
@@ -93,43 +112,84 @@ def key_ranges(df: DataFrame, order_by: Sequence[str], parts: int | None = None)
     )
 
 
-def aligned_ranges(df: DataFrame, order_by: Sequence[str], unit_rows: int, parts: int | None = None) -> KeyRanges:
+def group_starts(df: DataFrame, group: str) -> dict[str | None, int]:
+    """How many rows stand before the first one of each group, in the order of the groups.
+
+    Groups are few, such as splits; more than ``MAX_GROUPS`` are an error.
+    """
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("n")).orderBy(group).limit(MAX_GROUPS + 1).collect()
+    if len(counts) > MAX_GROUPS:
+        raise ValueError(f"{group!r} has more than {MAX_GROUPS} values")
+    starts, before = {}, 0
+    for row in counts:
+        starts[row[group]] = before
+        before += row["n"]
+    return starts
+
+
+def start_of_group(starts: Mapping[str | None, int], group: str) -> Column:
+    """The same as a column: a constant of the plan. NULL is the first group."""
+    start = F.lit(0).cast("bigint")
+    for value, before in starts.items():
+        if value is not None:
+            start = F.when(F.col(group) == F.lit(value), F.lit(before)).otherwise(start)
+    return start
+
+
+def aligned_ranges(
+    df: DataFrame,
+    order_by: Sequence[str],
+    unit_rows: int,
+    parts: int | None = None,
+    starts: Mapping[str | None, int] | None = None,
+) -> KeyRanges:
     """Ranges that each hold whole units of ``unit_rows`` consecutive rows.
 
-    Work within a unit then needs one shuffle of the wide rows: by range.
+    Work within a unit then needs one shuffle of the wide rows: by range. With ``starts``
+    of the groups in the first order key, units begin anew in each group.
     """
     coarse = key_ranges(df, order_by, parts)
     units = math.ceil(coarse.total / unit_rows)
-    rows = unit_rows * max(1, math.ceil(units / _range_count(df, parts)))
-    starts = (
+    rows = unit_rows * max(1, math.ceil(units / max(1, len(coarse.rows))))
+    index = F.col("row_index")
+    within = index - (start_of_group(starts, order_by[0]) if starts else F.lit(0))
+    found = (
         with_row_index(df.select(*order_by), order_by, ranges=coarse)
-        .where((F.col("row_index") > 0) & (F.col("row_index") % rows == 0))
+        .where((index > 0) & (within % rows == 0))
         .select("row_index", F.to_json(F.struct(*order_by), _EXACT).alias("first"))
         .collect()
     )
-    starts.sort(key=lambda row: row["row_index"])
-    last = coarse.total - rows * len(starts)
+    found.sort(key=lambda row: row["row_index"])
+    edges = [0, *(row["row_index"] for row in found), coarse.total]
     return KeyRanges(
         schema=coarse.schema,
-        firsts=tuple(row["first"] for row in starts),
-        rows=(rows,) * len(starts) + (last,),
+        firsts=tuple(row["first"] for row in found),
+        rows=tuple(b - a for a, b in zip(edges, edges[1:], strict=False)),
     )
 
 
-def first_rows(df: DataFrame, n: int, order_by: Sequence[str], parts: int | None = None) -> DataFrame:
+def first_rows(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
     """The first ``n`` rows in key order, as a filter.
 
     The key of the last of them is found from the key columns alone; the other columns are
-    neither sorted nor shuffled. With a single key the filter reaches the scan.
+    neither sorted nor shuffled. With a single key the filter reaches the scan. Keys
+    that do not tell the last row and the next one apart are an error.
     """
-    ranges = key_ranges(df, order_by, parts)
-    if n >= ranges.total:
-        return df
     if n <= 0:
         return df.limit(0)
-    indexed = with_row_index(df.select(*order_by), order_by, ranges=ranges)
-    last = indexed.where(F.col("row_index") == n - 1).select(F.to_json(F.struct(*order_by), _EXACT)).first()[0]
-    cut = F.from_json(F.lit(last), ranges.schema, _EXACT)
+    keys = df.select(*order_by)
+    # At most n + 1 narrow rows leave each task, and each merge reads those of few tasks.
+    tasks = keys.withColumn("_tasks", F.spark_partition_id() % MERGE_WIDTH)
+    for group in (F.col("_tasks"), F.lit(0)):
+        ordered = Window.partitionBy(group).orderBy(*order_by)
+        tasks = tasks.withColumn("_rank", F.row_number().over(ordered)).where(F.col("_rank") <= n + 1)
+    edge = tasks.where(F.col("_rank") >= n).select("_rank", F.to_json(F.struct(*order_by), _EXACT).alias("key"))
+    found = {row["_rank"]: row["key"] for row in edge.collect()}
+    if n + 1 not in found:
+        return df
+    if found[n] == found[n + 1]:
+        raise ValueError(f"the order keys {list(order_by)} do not tell rows {n} and {n + 1} apart")
+    cut = F.from_json(F.lit(found[n]), keys.schema, _EXACT)
     if len(order_by) > 1:
         return df.where(F.struct(*order_by) <= cut)
     key = F.col(order_by[0])
@@ -177,11 +237,13 @@ def with_running(
     """Add running aggregates in key order, per group if ``group_by`` is given.
 
     ``range_of_row`` cuts the order into ranges and must not decrease along it; by
-    default the ranges come from :func:`key_ranges`. With ``group_by``, pass groups as
-    leading order keys so that a range holds few of them. ``totals_of`` is a narrower
-    table with the same keys from which the totals of a range are taken when ``df``
-    carries wide columns.
+    default the ranges come from :func:`key_ranges`. The groups of ``group_by`` must lead
+    ``order_by``: then what is carried from earlier ranges has one row per range at most,
+    which bounds the broadcast. ``totals_of`` is a narrower table with the same keys from
+    which the totals of a range are taken when ``df`` carries wide columns.
     """
+    if list(order_by[: len(group_by)]) != list(group_by):
+        raise ValueError(f"the order {list(order_by)} must begin with the groups {list(group_by)}")
     if range_of_row is None:
         range_of_row = key_ranges(totals_of if totals_of is not None else df, order_by).range_of_key()
     place = [_RANGE, *group_by]

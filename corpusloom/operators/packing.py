@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from corpusloom.operators.ordering import (
     Running,
     aligned_ranges,
+    group_starts,
     key_ranges,
+    start_of_group,
     with_row_index,
     with_running,
 )
@@ -29,18 +31,16 @@ def pack_batches(
     batch_rows: int = 1000,
     block_size: int = 2048,
     ids: str = "input_ids",
+    split: str | None = None,
 ) -> DataFrame:
     """Concatenate the ids of each batch of consecutive rows and cut them into blocks.
 
-    A batch drops its remainder if it has a full block; a shorter batch gives one short
+    With ``split`` every split is batched by itself. A batch drops its remainder if it has a full block; a shorter batch gives one short
     block. Rows are shuffled once, to ranges that hold whole batches; offsets, cutting
     and regrouping stay within a range.
     """
-    keys = materialize(encoded.select(*order_by))
-    ranges = aligned_ranges(keys, order_by, batch_rows)
-    rows = with_row_index(encoded.select(*order_by, ids), order_by, ranges=ranges, keep_range=True)
-    rows = rows.withColumn("batch", F.floor(F.col("row_index") / batch_rows).cast("bigint"))
-    place = ["_range", "batch"]
+    rows = _batched(encoded, order_by, batch_rows, "batch", ids, split)
+    place = ["_range", *([split] if split else []), "batch"]
     ordered = Window.partitionBy(*place).orderBy("row_index")
     length = F.size(ids).cast("bigint")
     placed = rows.select(
@@ -52,6 +52,20 @@ def pack_batches(
     return _cut_and_join(placed, place, block_size).drop("_range")
 
 
+def _batched(
+    encoded: DataFrame, order_by: Sequence[str], batch_rows: int, name: str, ids: str, split: str | None
+) -> DataFrame:
+    """Number the batches of consecutive rows, in each split from 0, in ranges of whole batches."""
+    order = [*([split] if split else []), *order_by]
+    keys = materialize(encoded.select(*order))
+    starts = group_starts(keys, split) if split else None
+    ranges = aligned_ranges(keys, order, batch_rows, starts=starts)
+    rows = with_row_index(encoded.select(*order, ids), order, ranges=ranges, keep_range=True)
+    if starts:
+        rows = rows.withColumn("row_index", F.col("row_index") - start_of_group(starts, split))
+    return rows.withColumn(name, F.floor(F.col("row_index") / batch_rows).cast("bigint"))
+
+
 def pack_splits(
     encoded: DataFrame,
     order_by: Sequence[str],
@@ -60,25 +74,24 @@ def pack_splits(
     ids: str = "input_ids",
     split: str = "split",
     splits: Sequence[str] = SPLITS,
+    lengths: DataFrame | None = None,
 ) -> DataFrame:
     """Concatenate the ids of each whole split and cut them into blocks.
 
-    Offsets come from a narrow table of lengths; the ids are shuffled to key ranges, cut
-    there, and the pieces are shuffled to their blocks.
+    ``lengths`` holds the order keys and ``n_tokens`` of every row, for instance of the
+    tokens before they were encoded; without it the ids are computed once more to measure
+    them. Offsets come from that narrow table and are joined to the ids.
     """
     order = [split, *order_by]
-    length = F.size(ids).cast("bigint")
-    lengths = materialize(encoded.select(*order, length.alias("_length")))
-    wide = encoded.select(*order, F.col(ids).alias("_ids")).withColumn("_length", F.size("_ids").cast("bigint"))
-    placed = with_running(
-        wide,
-        order,
-        {"_start": Running("sum", F.col("_length"))},
-        group_by=[split],
-        range_of_row=key_ranges(lengths, order).range_of_key(),
-        totals_of=lengths,
+    if lengths is None:
+        lengths = encoded.select(*order, F.size(ids).cast("bigint").alias("n_tokens"))
+    lengths = materialize(lengths.select(*order, "n_tokens"))
+    ranges = key_ranges(lengths, order, weight=F.col("n_tokens")).range_of_key()
+    starts = with_running(
+        lengths, order, {"_start": Running("sum", F.col("n_tokens"))}, group_by=[split], range_of_row=ranges
     )
-    placed = with_split_total(placed, lengths, "_total", value="_length", split=split, splits=splits)
+    starts = with_split_total(starts, lengths, "_total", split=split, splits=splits).drop("n_tokens")
+    placed = encoded.select(*order, F.col(ids).alias("_ids")).join(starts, order)
     placed = placed.select(split, "_ids", "_start", "_total")
     return _cut_and_join(placed, [split], block_size)
 
@@ -123,20 +136,19 @@ def collate(
     pad_id: int = 0,
     multiple: int | None = PAD_MULTIPLE,
     ids: str = "input_ids",
+    split: str | None = None,
 ) -> DataFrame:
     """Pad each batch of consecutive rows to its longest row, rounded up to ``multiple``.
 
-    Labels equal the ids with every padding id replaced by -100. If the padding id is
+    With ``split`` every split is batched by itself. Labels equal the ids with every padding id replaced by -100. If the padding id is
     the end id, genuine end tokens are replaced too. Rows are shuffled once, to ranges
     that hold whole batches.
     """
-    keys = materialize(encoded.select(*order_by))
-    ranges = aligned_ranges(keys, order_by, batch_size)
-    rows = with_row_index(encoded.select(*order_by, ids), order_by, ranges=ranges, keep_range=True)
-    rows = rows.withColumn("batch_id", F.floor(F.col("row_index") / batch_size).cast("bigint"))
-    longest = F.max(F.size(ids)).over(Window.partitionBy("_range", "batch_id"))
+    rows = _batched(encoded, order_by, batch_size, "batch_id", ids, split)
+    group = [split] if split else []
+    longest = F.max(F.size(ids)).over(Window.partitionBy("_range", *group, "batch_id"))
     width = longest if multiple is None else F.ceil(longest / multiple) * multiple
-    padded = rows.select(*order_by, "batch_id", ids, width.cast("int").alias("width"))
+    padded = rows.select(*group, *order_by, "batch_id", ids, width.cast("int").alias("width"))
     return pad_to_width(padded.withColumn("n_pad", F.col("width") - F.size(ids)), pad_id, ids)
 
 

@@ -4,15 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import contains_text
-from corpusloom.operators.ordering import first_rows
-
-# How many groups of tasks are merged before the final merge.
-MERGE_WIDTH = 256
+from corpusloom.operators.ordering import MERGE_WIDTH, first_rows
 
 
 def drop_blank(df: DataFrame, text: str = "text") -> DataFrame:
@@ -22,21 +19,21 @@ def drop_blank(df: DataFrame, text: str = "text") -> DataFrame:
 
 def map_batches(
     df: DataFrame,
-    fn: Callable[[pd.DataFrame], pd.DataFrame],
+    fn: Callable[[pa.RecordBatch], pa.RecordBatch],
     schema: str,
     columns: list[str] | None = None,
 ) -> DataFrame:
-    """Apply user code to batches of rows; it may return fewer or more rows.
+    """Apply user code to Arrow batches of rows; it may return fewer or more rows.
 
     Only ``columns`` are sent to Python and only what ``fn`` returns is kept. The
     partitions of ``df`` are the degree of parallelism.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield fn(batch)
 
-    return (df.select(*columns) if columns else df).mapInPandas(run, schema)
+    return (df.select(*columns) if columns else df).mapInArrow(run, schema)
 
 
 def head(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:

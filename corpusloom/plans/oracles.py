@@ -24,7 +24,7 @@ vocabulary AS (
 )"""
 _IDS = _VOCABULARY + r""",
 placed AS (
-  SELECT doc_id, split, unnest(tokens[1:512]) AS token, generate_subscripts(tokens[1:512], 1) - 1 AS pos FROM toks
+  SELECT doc_id, split, unnest(tokens) AS token, generate_subscripts(tokens, 1) - 1 AS pos FROM toks
 ),
 ids AS (
   SELECT p.doc_id, p.split, p.pos, p.token, coalesce(v.id, 1) AS id
@@ -111,7 +111,8 @@ ORACLES: dict[str, str] = {
     "runlog_interval": f"WITH {_RUNS} SELECT run_id, step, eval_loss FROM runs WHERE step % 5 = 0",
     "vocabulary_topk": f"WITH {_VOCABULARY} SELECT token, id, freq FROM vocabulary",
     "tokenize_truncate": f"""WITH {_LISTS}
-        SELECT doc_id, len(ids)::INT AS n_tokens, md5(array_to_string(ids, ' ')) AS ids_md5 FROM lists""",
+        SELECT doc_id, least(len(ids), 512)::INT AS n_tokens, md5(array_to_string(ids[1:512], ' ')) AS ids_md5
+        FROM lists""",
     "decode_preview": f"""WITH {_IDS}
         SELECT doc_id,
                substr(string_agg(CASE WHEN id = 1 THEN '<unknown>' ELSE token END, ' ' ORDER BY pos), 1, 200) AS preview
@@ -132,23 +133,25 @@ ORACLES: dict[str, str] = {
               AS token_start
         FROM turns""",
     "pack_blocks": f"""WITH {_IDS}, numbered AS (
-          SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS batch FROM full_docs),
+          SELECT doc_id, (row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1) // 100 AS batch FROM full_docs),
         at_batch AS (
-          SELECT n.batch, i.id, row_number() OVER (PARTITION BY n.batch ORDER BY i.doc_id, i.pos) - 1 AS spot,
-                 count(*) OVER (PARTITION BY n.batch) AS total
+          SELECT i.split, n.batch, i.id,
+                 row_number() OVER (PARTITION BY i.split, n.batch ORDER BY i.doc_id, i.pos) - 1 AS spot,
+                 count(*) OVER (PARTITION BY i.split, n.batch) AS total
           FROM ids i JOIN numbered n USING (doc_id))
-        SELECT batch, spot // 512 AS block, {_BLOCK_VALUES}
-        FROM at_batch WHERE total < 512 OR spot < total - total % 512 GROUP BY batch, spot // 512""",
+        SELECT split, batch, spot // 512 AS block, {_BLOCK_VALUES}
+        FROM at_batch WHERE total < 512 OR spot < total - total % 512 GROUP BY split, batch, spot // 512""",
     "pack_split_blocks": f"""WITH {_IDS}, at_split AS (
           SELECT split, id, row_number() OVER (PARTITION BY split ORDER BY doc_id, pos) - 1 AS spot,
                  count(*) OVER (PARTITION BY split) AS total FROM ids)
         SELECT split, spot // 512 AS block, {_BLOCK_VALUES}
         FROM at_split WHERE total < 512 OR spot < total - total % 512 GROUP BY split, spot // 512""",
     "collate_padded": f"""WITH {_LISTS}, numbered AS (
-          SELECT doc_id, ids, (row_number() OVER (ORDER BY doc_id) - 1) // 4 AS batch_id FROM lists),
+          SELECT doc_id, split, ids, (row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1) // 4 AS batch_id
+          FROM lists),
         wide AS (
-          SELECT *, (ceil(max(len(ids)) OVER (PARTITION BY batch_id) / 8.0) * 8)::INT AS width FROM numbered)
-        SELECT batch_id, doc_id, width, (width - len(ids))::INT AS n_pad,
+          SELECT *, (ceil(max(len(ids)) OVER (PARTITION BY split, batch_id) / 8.0) * 8)::INT AS width FROM numbered)
+        SELECT split, batch_id, doc_id, width, (width - len(ids))::INT AS n_pad,
                md5(array_to_string(list_resize(ids, width, 0), ' ')) AS ids_md5,
                md5(array_to_string(list_resize(list_transform(ids, lambda x: 1), width, 0), ' ')) AS mask_md5,
                md5(array_to_string(list_transform(list_resize(ids, width, 0),
@@ -171,7 +174,7 @@ ORACLES: dict[str, str] = {
         SELECT split, b AS "begin", e AS "end", e - p AS trg_len FROM kept""",
     "window_targets": f"""WITH {_TOKS} {_WINDOWS}
         SELECT split, b // 512 AS "window", p AS first_target, e - 1 AS last_target, e - p AS n_targets FROM kept""",
-    "split_metrics": f"""WITH {_TOKS}, cut AS (SELECT split, least(len(tokens), 2048) AS n FROM toks)
+    "split_metrics": f"""WITH {_TOKS}, cut AS (SELECT split, len(tokens) AS n FROM toks)
         SELECT split, count(*) AS num_examples, round(avg(n), 6) AS avg_seq_length,
                min(n)::BIGINT AS min_seq_length, max(n)::BIGINT AS max_seq_length, sum(n)::BIGINT AS total_tokens
         FROM cut GROUP BY split""",

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,12 +25,13 @@ from corpusloom.operators import (
     tokens,
     windows,
 )
-from corpusloom.session import materialize, spread_small_input
+from corpusloom.session import materialize
 from corpusloom.sources import alias_split, read_named_split, read_text_parquet
 
-# The parameters of the catalogue.
+# The parameters of the catalogue.
 VOCABULARY = 5000
-ENCODED_LENGTH = 512
+TRUNCATED = 512
+PREVIEW_IDS = 100
 PACK_ROWS = 100
 BLOCK = 512
 BATCH = 4
@@ -46,7 +49,7 @@ HELD_OUT = ("validation", "test")
 
 Query = Callable[[SparkSession, str], DataFrame]
 ORDER = ["doc_id"]
-# The columns of the given tables, so that no footer is read to infer them.
+# The columns of the given tables.
 DOCUMENTS = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
 CONVERSATIONS = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
 EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -68,10 +71,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumn("split", split_of_document())
 
 
-def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only what text work needs, spread over the cores if the file is small."""
-    df = documents(spark, sf_dir).select("doc_id", "split", "text")
-    return spread_small_input(df, "doc_id")
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only what text work needs."""
+    return documents(spark, sf_dir).select("doc_id", "split", "text")
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,11 +91,11 @@ def written_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _whole_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Untruncated tokens of the text as it is."""
-    return tokens.tokenize(spread_documents(spark, sf_dir), max_length=None, keep=["doc_id", "split"])
+    return tokens.tokenize(texts(spark, sf_dir), max_length=None, keep=["doc_id", "split"])
 
 
 def _lower_whole_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = spread_documents(spark, sf_dir)
+    df = texts(spark, sf_dir)
     return tokens.tokenize(df, _lower_tokens, max_length=None, keep=["doc_id", "split"])
 
 
@@ -101,9 +103,11 @@ def _codec(spark: SparkSession, sf_dir: str) -> tokens.TokenCodec:
     return tokens.TokenCodec(vocabulary_topk(spark, sf_dir), VOCABULARY)
 
 
-def _encoded(spark: SparkSession, sf_dir: str, codec: tokens.TokenCodec | None = None) -> DataFrame:
-    df = spread_documents(spark, sf_dir)
-    tokenized = tokens.tokenize(df, _lower_tokens, max_length=ENCODED_LENGTH, keep=["doc_id", "split"])
+def _encoded(
+    spark: SparkSession, sf_dir: str, codec: tokens.TokenCodec | None = None, max_length: int | None = None
+) -> DataFrame:
+    """Ids of whole texts, unless truncating is what a query shows."""
+    tokenized = tokens.tokenize(texts(spark, sf_dir), _lower_tokens, max_length=max_length, keep=["doc_id", "split"])
     return tokens.encode(tokenized, codec or _codec(spark, sf_dir))
 
 
@@ -140,10 +144,16 @@ def nonblank_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.drop_blank(documents(spark, sf_dir)).select("doc_id", F.md5("text").alias("text_md5"))
 
 
+def _count_tokens(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """User code for a batch map: counts in Arrow, with no Python call per row."""
+    n = pc.count_substring_regex(batch["text"], r"[^\s\v]+").cast(pa.int64())
+    return pa.RecordBatch.from_arrays([batch["doc_id"], n], ["doc_id", "n_tokens"])
+
+
 def mapped_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.map_batches(
-        spread_documents(spark, sf_dir),
-        lambda batch: batch[["doc_id"]].assign(n_tokens=batch["text"].str.count(r"\S+")),
+        texts(spark, sf_dir),
+        _count_tokens,
         "doc_id bigint, n_tokens bigint",
         columns=["doc_id", "text"],
     )
@@ -170,18 +180,19 @@ def vocabulary_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokenize_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _encoded(spark, sf_dir).select(
+    return _encoded(spark, sf_dir, max_length=TRUNCATED).select(
         "doc_id", F.size("input_ids").alias("n_tokens"), array_digest("input_ids").alias("ids_md5")
     )
 
 
 def decode_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     codec = _codec(spark, sf_dir)
-    return tokens.decode_preview(_encoded(spark, sf_dir, codec), codec).select("doc_id", "preview")
+    encoded = _encoded(spark, sf_dir, codec, PREVIEW_IDS)
+    return tokens.decode_preview(encoded, codec, PREVIEW_IDS).select("doc_id", "preview")
 
 
 def sentence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_documents(spark, sf_dir).select("doc_id", sentence_count("text").alias("n_sentences"))
+    return texts(spark, sf_dir).select("doc_id", sentence_count("text").alias("n_sentences"))
 
 
 def corpus_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,12 +212,15 @@ def turn_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pack_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks = packing.pack_batches(_encoded(spark, sf_dir), ORDER, batch_rows=PACK_ROWS, block_size=BLOCK)
-    return blocks.select("batch", "block", *_block_values())
+    encoded = _encoded(spark, sf_dir)
+    blocks = packing.pack_batches(encoded, ORDER, batch_rows=PACK_ROWS, block_size=BLOCK, split="split")
+    return blocks.select("split", "batch", "block", *_block_values())
 
 
 def pack_split_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks = packing.pack_splits(_encoded(spark, sf_dir), ORDER, block_size=BLOCK)
+    lengths = _lower_whole_tokens(spark, sf_dir)
+    lengths = lengths.select("split", "doc_id", F.size("tokens").cast("bigint").alias("n_tokens"))
+    blocks = packing.pack_splits(_encoded(spark, sf_dir), ORDER, block_size=BLOCK, lengths=lengths)
     return blocks.select("split", "block", *_block_values())
 
 
@@ -219,7 +233,8 @@ def _block_values() -> list[Column]:
 
 
 def collate_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.collate(_encoded(spark, sf_dir), ORDER, batch_size=BATCH).select(
+    return packing.collate(_encoded(spark, sf_dir), ORDER, batch_size=BATCH, split="split").select(
+        "split",
         "batch_id",
         "doc_id",
         "width",
@@ -266,12 +281,12 @@ def window_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = tokens.tokenize(spread_documents(spark, sf_dir), keep=["split"])
+    df = tokens.tokenize(texts(spark, sf_dir), max_length=None, keep=["split"])
     return statistics.split_metrics(df, ids="tokens").withColumn("avg_seq_length", F.round("avg_seq_length", 6))
 
 
 def head_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = tokens.tokenize(spread_documents(spark, sf_dir), keep=["doc_id", "split"])
+    df = tokens.tokenize(texts(spark, sf_dir), keep=["doc_id", "split"])
     return statistics.head_statistics(df, ORDER, ids="tokens").withColumn(
         "avg_length_100", F.round("avg_length_100", 6)
     )

@@ -1,4 +1,4 @@
-"""Session helpers: settings, reliable checkpoints and small-input spreading."""
+"""Session helpers: settings and tables below the checkpoint folder."""
 
 from __future__ import annotations
 
@@ -62,19 +62,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread_small_input(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread an input too small to fill the cores over all of them.
+def drop_materialized(spark: SparkSession) -> int:
+    """Delete the tables that :func:`materialize` has written in this application so far.
 
-    A small Parquet file is often one row group, which one task reads alone. An input of
-    at least one read split per core is returned unchanged, so large data is never
-    shuffled here.
+    For long sessions, between jobs: results that are still to be computed from them can
+    no longer be read. Returns how many there were.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    )
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size >= cores * split_bytes:
-        return df
-    return df.repartition(cores, *keys)
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/tables")
+    filesystem = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not filesystem.exists(root):
+        return 0
+    dropped = len(filesystem.listStatus(root))
+    filesystem.delete(root, True)
+    return dropped

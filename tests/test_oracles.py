@@ -5,19 +5,21 @@ import os
 import pytest
 from oracle import differences
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from corpusloom.plans.oracles import ORACLES
+from corpusloom.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def test_every_query_has_a_counterpart():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, name):
-    df = queries()[name](spark, SF_DIR)
-    assert differences(df, oracle_sql()[name], SF_DIR) == []
+    df = QUERIES[name](spark, SF_DIR)
+    assert differences(df, ORACLES[name], SF_DIR) == []
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not any(join in plan for join in ("CartesianProduct", "BroadcastNestedLoopJoin"))
 

@@ -5,14 +5,14 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.operators import ordering
 from corpusloom.operators.ngram import bigram_losses, pair_counts, train_bigrams
-from corpusloom.operators.ordering import key_ranges
+from corpusloom.operators.ordering import Running, key_ranges, with_running
 from corpusloom.operators.runlog import lr_schedule
 from corpusloom.operators.selection import head, head_per_split
 from corpusloom.operators.tokens import build_vocabulary, tokenize
 from corpusloom.operators.windows import corpus_positions, document_lengths
-from corpusloom.plans.queries import run_log, spread_documents
-from corpusloom.session import spread_small_input
+from corpusloom.plans.queries import run_log, texts
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -87,7 +87,7 @@ def test_head_is_a_filter_on_the_scan(spark, tmp_path):
 
 
 def test_tokenizing_happens_once_per_scan(spark):
-    tokenized = tokenize(spread_documents(spark, SF_DIR), max_length=None)
+    tokenized = tokenize(texts(spark, SF_DIR), max_length=None)
     plan = build_vocabulary(tokenized, 50)._jdf.queryExecution().optimizedPlan().toString()
     scans = [line for line in plan.splitlines() if "regexp_extract_all" in line]
     assert all(line.count("regexp_extract_all") == 1 for line in scans)
@@ -95,7 +95,7 @@ def test_tokenizing_happens_once_per_scan(spark):
 
 
 def test_positions_use_one_task_for_range_totals_only(spark):
-    lengths = document_lengths(tokenize(spread_documents(spark, SF_DIR), keep=["doc_id"]), ["doc_id"])
+    lengths = document_lengths(tokenize(texts(spark, SF_DIR), keep=["doc_id"]), ["doc_id"])
     df = corpus_positions(lengths, ["doc_id"])
     df.collect()
     plan = _plan(df).split("Initial Plan")[0]
@@ -109,8 +109,27 @@ def test_a_long_run_is_spread_over_ranges(spark):
     assert max(key_ranges(log, ["run_id", "step"], 8).rows) < 2 * log.count() / 8
 
 
-def test_only_small_inputs_are_spread(spark, settings):
-    df = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    assert "Exchange" in _plan(spread_small_input(df, "doc_id"))
+def test_one_plan_at_all_sizes(spark, settings):
+    """No plan asks how large its input is: text is read by the splits of the scan."""
+
+    def shape():
+        plan = _plan(tokenize(texts(spark, SF_DIR), max_length=None, keep=["doc_id"]))
+        return re.sub(r"#\d+|\(\d+\)", "", plan)
+
+    large = shape()
+    assert "Exchange" not in large
     settings(files__maxPartitionBytes="1KB")
-    assert "Exchange" not in _plan(spread_small_input(df, "doc_id"))
+    assert shape() == large
+
+
+def test_groups_must_lead_the_order(spark):
+    df = spark.range(10).select("id", (F.col("id") % 3).alias("user"))
+    with pytest.raises(ValueError, match="must begin with the groups"):
+        with_running(df, ["id"], {"n": Running("sum", F.lit(1))}, group_by=["user"])
+
+
+def test_ranges_follow_the_data(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "RANGE_ROWS", 100)
+    df = spark.range(5000).select("id", F.when(F.col("id") < 10, 50_000).otherwise(1).alias("n"))
+    assert len(key_ranges(df, ["id"]).rows) >= 40
+    assert len(key_ranges(df, ["id"], weight=F.col("n")).rows) >= 50
