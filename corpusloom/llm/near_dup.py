@@ -48,13 +48,13 @@ class OrderMinHash:
     per_key: int = 5
     #: Shingle hashes kept of a text, at most about. Up to this length the overlap of two
     #: texts is exact; of longer texts the share 1/2, 1/4, ... with the smallest hashes is kept.
-    signature: int = 256
+    signature: int = 1024
     #: Sampled overlaps are estimates: pairs this far below the similarity are aligned as well.
-    margin: float = 0.1
+    margin: float = 0.06
     #: Rows of a block of signatures that one task compares with another.
     block: int = 256
-    #: Alike partners of a text in the first slice; a slice is four times the one before.
-    first_slice: int = 2
+    #: Alike partners of a text in the first slice; a slice is eight times the one before.
+    first_slice: int = 8
 
 
 _CHUNK = 1 << 14
@@ -233,7 +233,10 @@ def _likely_pairs(
     buckets: DataFrame, classes: DataFrame, p: OrderMinHash, low: int, high: int, first: bool
 ) -> DataFrame:
     """Pairs worth an alignment, and (node, NULL) where a later slice holds more."""
-    rows = buckets.join(classes, "node")
+    rows = buckets.join(classes.select("node", "component"), "node")
+    mixed = rows.groupBy("table", "bucket").agg((F.min("component") != F.max("component")).alias("mixed"))
+    rows = rows.join(mixed.where("mixed").drop("mixed"), ["table", "bucket"])
+    rows = rows.join(classes.drop("component"), "node")
     spread = rows.withColumn("blocks", F.ceil(F.col("n") / p.block).cast("int"))
     spread = spread.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     pairs = F.transform(
@@ -323,7 +326,7 @@ def near_duplicates(
         more = not found.where("b IS NULL").isEmpty() if turn else not pairs.isEmpty()
         if not aligned.isEmpty():
             classes = written(_joined(classes, aligned), f"{folder}/classes-{turn}")
-        low, step, turn = (low + step, step * 4, turn + 1) if turn else (0, step, 1)
+        low, step, turn = (low + step, step * 8, turn + 1) if turn else (0, step, 1)
         if not more:
             break
 
