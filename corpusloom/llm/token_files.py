@@ -44,7 +44,7 @@ BLOCK_IDS = 1 << 20
 #: Ids in a file, about.
 FILE_IDS = 1 << 25
 #: Words whose ids a Python worker remembers before it starts anew.
-REMEMBERED_WORDS = 1_000_000
+REMEMBERED_WORDS = 400_000
 
 #: The tokenizer's rule of words, written for letters up to U+024F, where the regular
 #: expression engines agree on classes. Other texts go to the tokenizer whole.
