@@ -46,12 +46,12 @@ def sentence_count(text: Column | str, longer_than: int = 10) -> Column:
 
 def whitespace_tokens(text: Column | str) -> Column:
     """Runs of non-whitespace characters, in order."""
-    return F.regexp_extract_all(_column(text), F.lit(r"\S+"), F.lit(0))
+    return F.regexp_extract_all(_column(text), F.lit(rf"(?U)[^{_SPACE}]+"), F.lit(0))
 
 
 def word_tokens(text: Column | str) -> Column:
     """Runs of letters, of digits, or of other visible characters, in order."""
-    pattern = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"
+    pattern = rf"(?U)\p{{L}}+|\p{{N}}+|[^{_SPACE}\p{{L}}\p{{N}}]+"
     return F.regexp_extract_all(_column(text), F.lit(pattern), F.lit(0))
 
 

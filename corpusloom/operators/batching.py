@@ -41,6 +41,35 @@ def _per_step(batch_size: int, ranks: int) -> int:
     return batch_size * ranks
 
 
+def planned_epochs(
+    rows: int, *, batch_size: int, ranks: int, accumulation: int, epochs: int, max_steps: int = -1
+) -> int:
+    """How many epochs a job runs: a positive ``max_steps`` takes the place of ``epochs``."""
+    if max_steps <= 0 or not rows:
+        return epochs
+    steps = -(-(-(-rows // _per_step(batch_size, ranks))) // accumulation)
+    return -(-max_steps // steps)
+
+
+def job_plan(
+    examples: DataFrame,
+    key: str,
+    *,
+    batch_size: int = BATCH_SIZE,
+    ranks: int = 1,
+    accumulation: int = ACCUMULATION,
+    epochs: int = EPOCHS,
+    max_steps: int = -1,
+    seed: int = SEED,
+) -> DataFrame:
+    """Epoch order and batch plan of a whole job; only epochs that run are shuffled."""
+    sizes = {"batch_size": batch_size, "ranks": ranks, "accumulation": accumulation}
+    rows = examples.count()
+    run = planned_epochs(rows, epochs=epochs, max_steps=max_steps, **sizes)
+    ordered = epoch_order(examples, key, epochs=run, seed=seed)
+    return batch_plan(ordered, F.lit(rows), max_steps=max_steps, **sizes)
+
+
 def batch_plan(
     ordered: DataFrame,
     total_rows: Column,
@@ -52,7 +81,8 @@ def batch_plan(
 ) -> DataFrame:
     """Add ``micro_batch`` (within the epoch), ``rank`` and ``opt_step`` (over all epochs).
 
-    The last short batch is kept. A positive ``max_steps`` drops the rows after it.
+    The last short batch is kept. A positive ``max_steps`` drops the rows after it;
+    ``ordered`` must hold :func:`planned_epochs` epochs, as :func:`job_plan` sees to.
     """
     per_step = _per_step(batch_size, ranks)
     position = F.col("position")

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.operators.ordering import Running, key_ranges, with_running
+from corpusloom.operators.ordering import EXACT, MERGE_WIDTH, Running, key_ranges, with_running
 from corpusloom.operators.windows import (
     WINDOW_LENGTH,
     WINDOW_STRIDE,
@@ -27,6 +27,8 @@ from corpusloom.session import materialize
 TEMPERATURE = 1.0
 TOP_K = 50
 TOP_P = 0.95
+#: Names the group of a split's first window.
+FIRST = ":first window"
 
 
 def token_pairs(tokenized: DataFrame, keep: Sequence[str] = (), tokens: str = "tokens") -> DataFrame:
@@ -223,20 +225,102 @@ def scored_pairs(
     return scored.where(F.col("next_token").isNotNull())
 
 
+def _window_pairs(
+    tokenized: DataFrame, held_out: Sequence[str], order_by: Sequence[str], length: int, split: str
+) -> tuple[DataFrame, DataFrame]:
+    """Rows ``(group, token, next_token, n)`` of all pairs, and ``(split, n_tokens)``.
+
+    Groups are the splits, and one more for the first window of each held-out split; its
+    pairs are taken out of the split again by rows with n = -1.
+    """
+    order = [split, *order_by]
+    texts = tokenized.select(*order, "tokens").where(F.size("tokens") > 0)
+    scored = texts.where(F.col(split).isin(*held_out))
+    ends = materialize(
+        scored.select(
+            *order,
+            F.size("tokens").cast("bigint").alias("n_tokens"),
+            F.get("tokens", F.lit(0)).alias("first"),
+            F.get("tokens", F.size("tokens") - 1).alias("last"),
+        )
+    )
+    placed = with_running(
+        ends,
+        order,
+        {"token_start": Running("sum", F.col("n_tokens")), "before": Running("last", F.col("last"))},
+        group_by=[split],
+        range_of_row=key_ranges(ends, order).range_of_key(),
+    )
+    placed = materialize(placed.select(*order, "first", "token_start", "before"))
+    inside = token_pairs(texts, [split]).select(F.col(split).alias("group"), "token", "next_token", F.lit(1).alias("n"))
+    borders = placed.where("before IS NOT NULL").select(
+        F.col(split).alias("group"),
+        F.col("before").alias("token"),
+        F.col("first").alias("next_token"),
+        F.lit(1).alias("n"),
+    )
+    # At most ``length`` texts of a split reach into its first window. One key per split
+    # finds them, so that no other text is tokenized for this.
+    opening = placed.where(F.col("token_start") < length).select(*order, "token_start", "before")
+    last = opening.groupBy(split).agg(F.to_json(F.max(F.struct(*order_by)), EXACT).alias("key")).collect()
+    kind = placed.select(*order_by).schema
+    reached = F.lit(False)
+    for row in last:
+        cut = F.from_json(F.lit(row["key"]), kind, EXACT)
+        reached |= (F.col(split) == row[split]) & (F.struct(*order_by) <= cut)
+    heads = texts.where(reached).join(F.broadcast(opening), order)
+    used = F.least(F.size("tokens").cast("bigint"), F.lit(length) - F.col("token_start")).cast("int")
+    heads = heads.select(split, F.slice("tokens", F.lit(1), used).alias("next"), "before")
+    previous = F.concat(F.array("before"), F.slice("next", F.lit(1), F.size("next") - 1))
+    zipped = F.arrays_zip(previous.alias("token"), F.col("next").alias("next_token"))
+    heads = heads.select(split, F.explode(zipped).alias("pair")).select(split, "pair.*").where("token IS NOT NULL")
+    moved = F.array(
+        F.struct(F.concat(split, F.lit(FIRST)).alias("group"), F.lit(1).alias("n")),
+        F.struct(F.col(split).alias("group"), F.lit(-1).alias("n")),
+    )
+    heads = heads.select("token", "next_token", F.inline(moved))
+    totals = ends.groupBy(split).agg(F.sum("n_tokens").alias("n_tokens"))
+    return inside.unionByName(borders).unionByName(heads), totals
+
+
 def window_perplexity(
     tokenized: DataFrame,
-    model: BigramModel,
+    held_out: Sequence[str],
     order_by: Sequence[str],
     *,
+    train: str = "train",
+    alpha: float = 1.0,
     length: int = WINDOW_LENGTH,
     stride: int = WINDOW_STRIDE,
     split: str = "split",
 ) -> DataFrame:
-    """Sliding-window perplexity of each split: ``(split, n_tokens, perplexity)``."""
-    pairs = scored_pairs(tokenized, order_by, length=length, stride=stride, split=split)
-    groups = [split, "window"]
-    counts = materialize(pair_counts(pairs, groups))
-    return _weighted(bigram_losses(counts, model, groups), split)
+    """Sliding-window perplexity of held-out splits: ``(split, n_tokens, perplexity)``.
+
+    A window's mean loss times its number of targets is the sum of its losses, but for the
+    first window of a split, which has a target without a predecessor. So pairs need no
+    windows: those inside texts are counted without any order, those across texts come
+    from a narrow table, and the first window of each split, which a few texts fill, is
+    counted apart. All counts stand side by side in one table, so they need no join.
+    """
+    check_windows(length, stride)
+    pairs, totals = _window_pairs(tokenized, held_out, order_by, length, split)
+    names = [*held_out, *(f"{name}{FIRST}" for name in held_out)]
+    sums = [F.sum(F.when(F.col("group") == name, F.col("n")).otherwise(0)).alias(name) for name in (train, *names)]
+    counts = materialize(pairs.groupBy("token", "next_token").agg(*sums))
+    first = F.col("split").endswith(FIRST)
+    losses = split_losses(counts, names, train=train, alpha=alpha).select(
+        F.when(first, F.expr(f"left(split, length(split) - {len(FIRST)})")).otherwise(F.col("split")).alias(split),
+        *[F.when(first, F.col(c)).alias(f"first_{c}") for c in ("nll", "n_pairs")],
+        *[F.when(~first, F.col(c)).alias(f"rest_{c}") for c in ("nll", "n_pairs")],
+    )
+    both = losses.unionByName(totals, allowMissingColumns=True)
+    both = both.groupBy(split).agg(*[F.sum(c).alias(c) for c in both.columns if c != split])
+    targets = F.least(F.col("n_tokens"), F.lit(length))
+    opening = F.when(F.col("first_n_pairs") > 0, F.col("first_nll") / F.col("first_n_pairs") * targets)
+    rest = F.when(F.col("rest_n_pairs") > 0, F.col("rest_nll")).otherwise(0.0)
+    value = F.exp((opening + rest) / F.col("n_tokens"))
+    scored = both.where("n_tokens > 0").select(split, "n_tokens", value.alias("perplexity"))
+    return scored.withColumn("perplexity", F.when(F.col("perplexity") < float("inf"), F.col("perplexity")))
 
 
 def window_perplexity_of_losses(
@@ -271,24 +355,31 @@ def next_token_candidates(
     pairs: DataFrame,
     *,
     temperature: float = TEMPERATURE,
-    top_k: int = TOP_K,
+    top_k: int | None = TOP_K,
     top_p: float = TOP_P,
 ) -> DataFrame:
     """The tokens that sampling may choose after each context.
 
-    Temperature first, then the ``top_k`` most likely, then the smallest set of them
-    that reaches ``top_p``. ``p`` and ``cum_p`` refer to the ``top_k``. Temperature 0 is
-    greedy. Spark keeps ``top_k`` rows per context and task before the shuffle.
+    Temperature first, then the ``top_k`` most likely (``None`` or 0: all), then the
+    smallest set of them that reaches ``top_p``. ``p`` and ``cum_p`` refer to the
+    ``top_k``. Temperature 0 is greedy. Counts are taken relative to the largest of their
+    context, so that small temperatures do not overflow. With ``top_k`` each task keeps
+    that many rows of a context before the shuffle, and the tasks are merged in two steps;
+    without it all rows of a context meet in one task.
     """
+    if temperature < 0 or (top_k or 0) < 0:
+        raise ValueError("temperature and top_k must not be negative")
     if temperature == 0:
         temperature, top_k = 1.0, 1
-    ordered = Window.partitionBy("token").orderBy(F.desc("n"), "next_token")
-    kept = pairs.withColumn("rank", F.row_number().over(ordered)).where(F.col("rank") <= top_k)
-    weight = F.col("n").cast("double") if temperature == 1 else F.pow(F.col("n"), F.lit(1.0 / temperature))
-    by_rank = Window.partitionBy("token").orderBy("rank")
-    kept = kept.withColumn("_weight", weight)
-    kept = kept.withColumn("_sum", F.sum("_weight").over(Window.partitionBy("token"))).withColumn(
-        "_upto", F.sum("_weight").over(by_rank)
+    kept = pairs.select("token", "next_token", "n", (F.spark_partition_id() % MERGE_WIDTH).alias("_tasks"))
+    for group in (["token", "_tasks"], ["token"]) if top_k else (["token"],):
+        ordered = Window.partitionBy(*group).orderBy(F.desc("n"), "next_token")
+        kept = kept.withColumn("rank", F.row_number().over(ordered))
+        kept = kept.where(F.col("rank") <= top_k) if top_k else kept
+    context = Window.partitionBy("token")
+    kept = kept.withColumn("_weight", F.pow(F.col("n") / F.max("n").over(context), F.lit(1.0 / temperature)))
+    kept = kept.withColumn("_sum", F.sum("_weight").over(context)).withColumn(
+        "_upto", F.sum("_weight").over(Window.partitionBy("token").orderBy("rank"))
     )
     before = (F.col("_upto") - F.col("_weight")) / F.col("_sum")
     return kept.where((F.col("rank") == 1) | (before < top_p)).select(

@@ -31,7 +31,7 @@ WEIGHT_OF_ROW = 100
 MAX_GROUPS = 1000
 
 # Formats that keep every digit of a key on its way from a result into a plan.
-_EXACT = {
+EXACT = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
@@ -60,7 +60,7 @@ class KeyRanges:
         """
         if not self.firsts:
             return F.lit(0)
-        starts = F.from_json(F.lit(f"[{','.join(self.firsts)}]"), ArrayType(self.schema), _EXACT)
+        starts = F.from_json(F.lit(f"[{','.join(self.firsts)}]"), ArrayType(self.schema), EXACT)
         key = F.struct(*self.schema.names)
         digits = len(self.firsts).bit_length()
         steps = F.array(*[F.lit(1 << i) for i in reversed(range(digits))])
@@ -101,7 +101,7 @@ def key_ranges(
     found = (
         keys.repartitionByRange(parts, *order_by)
         .groupBy(F.spark_partition_id().alias("part"))
-        .agg(F.to_json(F.min(F.struct(*order_by)), _EXACT).alias("first"), F.count(F.lit(1)).alias("rows"))
+        .agg(F.to_json(F.min(F.struct(*order_by)), EXACT).alias("first"), F.count(F.lit(1)).alias("rows"))
         .collect()
     )
     found.sort(key=lambda row: row["part"])
@@ -156,7 +156,7 @@ def aligned_ranges(
     found = (
         with_row_index(df.select(*order_by), order_by, ranges=coarse)
         .where((index > 0) & (within % rows == 0))
-        .select("row_index", F.to_json(F.struct(*order_by), _EXACT).alias("first"))
+        .select("row_index", F.to_json(F.struct(*order_by), EXACT).alias("first"))
         .collect()
     )
     found.sort(key=lambda row: row["row_index"])
@@ -183,13 +183,13 @@ def first_rows(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
     for group in (F.col("_tasks"), F.lit(0)):
         ordered = Window.partitionBy(group).orderBy(*order_by)
         tasks = tasks.withColumn("_rank", F.row_number().over(ordered)).where(F.col("_rank") <= n + 1)
-    edge = tasks.where(F.col("_rank") >= n).select("_rank", F.to_json(F.struct(*order_by), _EXACT).alias("key"))
+    edge = tasks.where(F.col("_rank") >= n).select("_rank", F.to_json(F.struct(*order_by), EXACT).alias("key"))
     found = {row["_rank"]: row["key"] for row in edge.collect()}
     if n + 1 not in found:
         return df
     if found[n] == found[n + 1]:
         raise ValueError(f"the order keys {list(order_by)} do not tell rows {n} and {n + 1} apart")
-    cut = F.from_json(F.lit(found[n]), keys.schema, _EXACT)
+    cut = F.from_json(F.lit(found[n]), keys.schema, EXACT)
     if len(order_by) > 1:
         return df.where(F.struct(*order_by) <= cut)
     key = F.col(order_by[0])

@@ -178,19 +178,21 @@ ORACLES: dict[str, str] = {
         SELECT split, count(*) AS num_examples, round(avg(n), 6) AS avg_seq_length,
                min(n)::BIGINT AS min_seq_length, max(n)::BIGINT AS max_seq_length, sum(n)::BIGINT AS total_tokens
         FROM cut GROUP BY split""",
-    "head_statistics": f"""WITH {_TOKS}, cut AS (
-          SELECT split, doc_id, least(len(tokens), 2048) AS n,
+    "head_statistics": f"""WITH {_TOKS}, ranked AS (
+          SELECT split, len(tokens) AS n, substr(array_to_string(tokens[1:100], ' '), 1, 200) AS shown,
                  row_number() OVER (PARTITION BY split ORDER BY doc_id) AS r FROM toks)
         SELECT split, count(*) AS num_examples, round(avg(n) FILTER (r <= 100), 6) AS avg_length_100,
-               (max(n) FILTER (r = 1))::BIGINT AS first_length FROM cut GROUP BY split""",
-    "sentence_estimate": r"""WITH sample AS (SELECT text FROM documents ORDER BY doc_id LIMIT 500),
+               (max(n) FILTER (r = 1))::BIGINT AS first_length, max(shown) FILTER (r = 1) AS preview
+        FROM ranked GROUP BY split""",
+    "sentence_estimate": "WITH" + _DOCS + r""", sample AS (
+          SELECT text FROM docs WHERE split = 'train' ORDER BY doc_id LIMIT 500),
         counted AS (
           SELECT len(list_filter(string_split_regex(text, '[.!?]+'),
                      lambda x: length(regexp_replace(x, '^\s+|\s+$', '', 'g')) > 10)) AS n FROM sample),
         sums AS (SELECT count(*) AS k, sum(n)::BIGINT AS s FROM counted)
         SELECT k AS sample_size, s AS sentences, round(s / k, 6) AS avg_per_example, total AS total_examples,
                round(s / k * total, 6) AS estimated_total
-        FROM sums CROSS JOIN (SELECT count(*) AS total FROM documents)""",
+        FROM sums CROSS JOIN (SELECT count(*) AS total FROM docs WHERE split = 'train')""",
     "window_perplexity": f"""WITH {_PAIRS} {_WINDOWS}, sequence AS (
           SELECT split, token, lag(token) OVER (PARTITION BY split ORDER BY doc_id, pos) AS before,
                  row_number() OVER (PARTITION BY split ORDER BY doc_id, pos) - 1 AS spot
@@ -207,6 +209,32 @@ ORACLES: dict[str, str] = {
         means AS (SELECT split, b, trg_len, avg(nll) AS mean FROM losses GROUP BY split, b, trg_len)
         SELECT split, sum(trg_len)::BIGINT AS n_tokens, round(exp(sum(mean * trg_len) / sum(trg_len)), 4) AS perplexity
         FROM means GROUP BY split""",
+    "file_order_positions": r"""WITH rows AS (
+          SELECT row_number() OVER () - 1 AS row_index, text, len(regexp_extract_all(text, '\S+')) AS n FROM documents)
+        SELECT row_index, md5(text) AS text_md5,
+               coalesce(sum(n) OVER (ORDER BY row_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT
+                 AS token_start
+        FROM rows""",
+    "batch_plan_capped": f"""WITH {_DOCS}, total AS (
+          SELECT count(*) AS n, ceil(ceil(count(*) / 8.0) / 8.0)::BIGINT AS steps FROM docs WHERE split = 'train'),
+        series AS (SELECT unnest(range(0, ceil(40.0 / steps)::BIGINT))::INT AS epoch FROM total),
+        epochs AS (
+          SELECT e.epoch, d.doc_id,
+                 row_number() OVER (PARTITION BY e.epoch ORDER BY md5('42:' || e.epoch || ':' || d.doc_id), d.doc_id) - 1
+                   AS position
+          FROM series e CROSS JOIN (SELECT doc_id FROM docs WHERE split = 'train') d)
+        SELECT epoch, doc_id, position // 8 AS micro_batch, (position // 4 % 2)::INT AS rank,
+               (epoch * steps + position // 64)::BIGINT AS opt_step
+        FROM epochs CROSS JOIN total WHERE epoch * steps + position // 64 < 40""",
+    "next_token_candidates_sharp": f"""WITH {_PAIRS}, ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY token ORDER BY n DESC, next_token) AS rank,
+                 pow(n / max(n) OVER (PARTITION BY token)::DOUBLE, 20) AS w FROM model),
+        summed AS (
+          SELECT *, sum(w) OVER (PARTITION BY token) AS s,
+                 sum(w) OVER (PARTITION BY token ORDER BY rank ROWS UNBOUNDED PRECEDING) AS upto
+          FROM ranked WHERE rank <= 50)
+        SELECT token, next_token, rank::INT AS rank, round(w / s, 6) AS p, round(upto / s, 6) AS cum_p
+        FROM summed WHERE rank = 1 OR (upto - w) / s < 0.95""",
     "epoch_shuffle": f"WITH {_EPOCHS} SELECT epoch, position, doc_id FROM epochs",
     "batch_plan": f"""WITH {_EPOCHS}, total AS (SELECT count(*) AS n FROM docs WHERE split = 'train')
         SELECT epoch, doc_id, position // 8 AS micro_batch, (position // 4 % 2)::INT AS rank,

@@ -43,6 +43,7 @@ PATIENCE = 5
 SAVE_EVERY = 10
 LOG_EVERY = 5
 EVAL_EVERY = 10
+STEP_CAP = 40
 WARMUP = 10
 KEEP = 3
 HELD_OUT = ("validation", "test")
@@ -111,10 +112,6 @@ def _encoded(
     return tokens.encode(tokenized, codec or _codec(spark, sf_dir))
 
 
-def _model(spark: SparkSession, sf_dir: str) -> ngram.BigramModel:
-    return ngram.train_bigrams(_lower_whole_tokens(spark, sf_dir).where(F.col("split") == "train"))
-
-
 def _split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(ngram.split_pair_counts(_lower_whole_tokens(spark, sf_dir), ["train", *HELD_OUT]))
 
@@ -144,9 +141,15 @@ def nonblank_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.drop_blank(documents(spark, sf_dir)).select("doc_id", F.md5("text").alias("text_md5"))
 
 
+#: Runs of what strip() keeps, for Arrow's expressions: all Unicode white space is left out.
+VISIBLE = (
+    r"[^\s\v\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+)
+
+
 def _count_tokens(batch: pa.RecordBatch) -> pa.RecordBatch:
     """User code for a batch map: counts in Arrow, with no Python call per row."""
-    n = pc.count_substring_regex(batch["text"], r"[^\s\v]+").cast(pa.int64())
+    n = pc.count_substring_regex(batch["text"], VISIBLE).cast(pa.int64())
     return pa.RecordBatch.from_arrays([batch["doc_id"], n], ["doc_id", "n_tokens"])
 
 
@@ -208,6 +211,17 @@ def turn_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.corpus_positions(lengths, order).select(*order, "row_index", "token_start")
 
 
+def file_order_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions in a table of one column, by the order of its files."""
+    df = read_text_parquet(spark, f"{sf_dir}/documents.parquet", schema="text STRING", file_order=True)
+    n_tokens = F.size(whitespace_tokens("text")).cast("bigint").alias("n_tokens")
+    lengths = materialize(
+        df.select("file_path", F.col("row_index").alias("file_row"), F.md5("text").alias("text_md5"), n_tokens)
+    )
+    found = windows.corpus_positions(lengths, ["file_path", "file_row"])
+    return found.select("row_index", "text_md5", "token_start")
+
+
 # Packing, padding, windows
 
 
@@ -286,14 +300,14 @@ def split_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def head_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = tokens.tokenize(texts(spark, sf_dir), keep=["doc_id", "split"])
-    return statistics.head_statistics(df, ORDER, ids="tokens").withColumn(
+    return statistics.head_statistics(texts(spark, sf_dir), ORDER).withColumn(
         "avg_length_100", F.round("avg_length_100", 6)
     )
 
 
 def sentence_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = statistics.sentence_estimate(documents(spark, sf_dir), ORDER, sample_size=SENTENCE_SAMPLE)
+    train = documents(spark, sf_dir).where(F.col("split") == "train")
+    df = statistics.sentence_estimate(train, ORDER, sample_size=SENTENCE_SAMPLE)
     return df.select(
         "sample_size",
         "sentences",
@@ -322,6 +336,14 @@ def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("epoch", "doc_id", "micro_batch", "rank", "opt_step")
 
 
+def batch_plan_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cap on the steps that asks for more epochs than planned."""
+    sizes = {"batch_size": BATCH, "ranks": RANKS, "accumulation": ACCUMULATION}
+    keys = _train_keys(spark, sf_dir)
+    plan = batching.job_plan(keys, "doc_id", epochs=PLANNED_EPOCHS, max_steps=STEP_CAP, **sizes)
+    return plan.select("epoch", "doc_id", "micro_batch", "rank", "opt_step")
+
+
 def step_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batching.step_totals(
         _train_keys(spark, sf_dir),
@@ -366,11 +388,18 @@ def baseline_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def window_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = _lower_whole_tokens(spark, sf_dir).where(F.col("split").isin(*HELD_OUT))
-    scores = ngram.window_perplexity(held_out, _model(spark, sf_dir), ORDER)
+    scores = ngram.window_perplexity(_lower_whole_tokens(spark, sf_dir), HELD_OUT, ORDER)
     return scores.select("split", "n_tokens", F.round("perplexity", 4).alias("perplexity"))
 
 
+def next_token_candidates_sharp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A temperature at which plain powers of counts overflow."""
+    found = ngram.next_token_candidates(bigram_counts(spark, sf_dir), temperature=0.05)
+    return found.select(
+        "token", "next_token", "rank", F.round("p", 6).alias("p"), F.round("cum_p", 6).alias("cum_p")
+    )
+
+
 def next_token_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram.next_token_candidates(bigram_counts(spark, sf_dir)).select(
         "token", "next_token", "rank", F.round("p", 6).alias("p"), F.round("cum_p", 6).alias("cum_p")
@@ -439,6 +468,9 @@ QUERIES: dict[str, Query] = {
     "pack_split_blocks": pack_split_blocks,
     "collate_padded": collate_padded,
     "mask_tokens": mask_tokens,
+    "file_order_positions": file_order_positions,
+    "batch_plan_capped": batch_plan_capped,
+    "next_token_candidates_sharp": next_token_candidates_sharp,
     "sliding_windows": sliding_windows,
     "window_targets": window_targets,
     "split_metrics": split_metrics,

@@ -17,22 +17,36 @@ def read_text_parquet(
     label: str = "input",
     text: str = "text",
     schema: StructType | str | None = None,
+    partitions: int | None = None,
+    file_order: bool = False,
 ) -> DataFrame:
     """Scan a Parquet table that must hold a text column.
 
     A missing path raises ``FileNotFoundError`` naming which input is missing, before
-    any job starts. With ``schema`` no footer is read to infer one.
+    any job starts. With ``schema`` the table must hold those columns in those types, as
+    one footer tells; Spark would read a missing one as NULL. ``partitions`` deals the
+    rows out anew, which a table in one row group may need; by default nothing is
+    shuffled. ``file_order`` adds ``file_path`` and ``row_index``, the order of the rows
+    in the files, as a key for tables that have none.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        df = reader.parquet(path)
+        df = spark.read.parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"{label} parquet not found: {path}") from error
         raise
     if text not in df.columns:
         raise ValueError(f"{label} parquet has no column {text!r}; it has {', '.join(df.columns)}")
-    return df
+    if schema is not None:
+        wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        found = {field.name: field.dataType for field in df.schema.fields}
+        wrong = [f"{f.name} {f.dataType.simpleString()}" for f in wanted.fields if found.get(f.name) != f.dataType]
+        if wrong:
+            raise ValueError(f"{label} parquet lacks {', '.join(wrong)}; it has {df.schema.simpleString()}")
+        df = spark.read.schema(wanted).parquet(path)
+    if file_order:
+        df = df.select("*", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    return df if partitions is None else df.repartition(partitions)
 
 
 def read_splits(
@@ -90,4 +104,7 @@ def read_named_split(
     df = read_text_parquet(spark, registry[name], label=name, text=text, schema=schema)
     if split_by is not None:
         df = df.withColumn("split", split_by)
-    return df.where(F.col("split") == split)
+    rows = df.where(F.col("split") == split)
+    if rows.isEmpty():
+        raise ValueError(f"corpus {name!r} has no rows of split {split!r}")
+    return rows

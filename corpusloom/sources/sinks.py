@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import re
+from collections.abc import Mapping
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,14 +65,40 @@ def write_metric_json(metrics: DataFrame, path: str, prefix: str | None = None)
     row.select(F.to_json("m").alias("value")).write.mode("overwrite").text(path)
 
 
-def reuse_or_write(df: DataFrame, path: str, overwrite: bool = False) -> DataFrame:
-    """Read a finished earlier output at ``path``, or compute ``df``, write it and read that.
-
-    An output counts as finished only with its success marker, so the leftovers of a
-    failed job are replaced and never reused.
+def _fingerprint(df: DataFrame, parameters: Mapping[str, object]) -> str:
+    """What a result depends on: schema, plan without its numbering, input files, parameters."""
+    spark = df.sparkSession
+    files = []
+    for name in sorted(df.inputFiles()):
+        filesystem, path = _filesystem(spark, name)
+        status = filesystem.getFileStatus(path)
+        files.append([name, status.getLen(), status.getModificationTime()])
+    plan = re.sub(r"#\d+L?|plan_id=\d+", "", df._jdf.queryExecution().optimizedPlan().canonicalized().toString())
+    parts = [df.schema.json(), plan, files, sorted((k, repr(v)) for k, v in parameters.items())]
+    return hashlib.sha256(json.dumps(parts).encode()).hexdigest()
+
+
+def reuse_or_write(
+    df: DataFrame, path: str, overwrite: bool = False, parameters: Mapping[str, object] | None = None
+) -> DataFrame:
+    """Read a finished earlier output of the same job at ``path``, or compute ``df``, write it and read that.
+
+    An output is used again only with its success marker and a fingerprint equal to this
+    job's: schema, plan, input files with their sizes and times, and ``parameters`` (what
+    the plan does not show, such as the version of user code). Anything else is replaced.
     """
     spark = df.sparkSession
-    filesystem, target = _filesystem(spark, path + "/_SUCCESS")
-    if overwrite or not filesystem.exists(target):
+    fingerprint = _fingerprint(df, parameters or {})
+    filesystem, done = _filesystem(spark, path + "/_SUCCESS")
+    _, mark = _filesystem(spark, path + "/_fingerprint")
+    same = False
+    if not overwrite and filesystem.exists(done) and filesystem.exists(mark):
+        stream = filesystem.open(mark)
+        same = bytes(stream.readAllBytes()).decode() == fingerprint
+        stream.close()
+    if not same:
         df.write.mode("overwrite").parquet(path)
+        stream = filesystem.create(mark, True)
+        stream.write(bytearray(fingerprint.encode()))
+        stream.close()
     return spark.read.schema(df.schema).parquet(path)

@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators.batching import batch_plan, epoch_order, step_totals
+from corpusloom.operators.batching import batch_plan, epoch_order, job_plan, step_totals
 
 
 @pytest.mark.parametrize("parts", [1, 4, 32])
@@ -41,3 +41,12 @@ def test_published_step_total(spark):
     totals = step_totals(spark.range(7461630), batch_size=32, ranks=2, accumulation=2, epochs=3).first()
     assert tuple(totals) == (128, 116588, 58294, 174882)
     assert step_totals(spark.range(100), max_steps=7).first()["total_steps"] == 7
+
+
+def test_a_cap_beyond_the_epochs_runs_more_of_them(spark):
+    keys = spark.range(64)
+    sizes = {"batch_size": 4, "ranks": 2, "accumulation": 8}
+    plan = job_plan(keys, "id", epochs=1, max_steps=20, **sizes)
+    assert plan.select("opt_step").distinct().count() == 20
+    assert step_totals(keys, epochs=1, max_steps=20, **sizes).first()["total_steps"] == 20
+    assert job_plan(keys, "id", epochs=5, max_steps=2, **sizes).agg({"epoch": "max"}).first()[0] == 1

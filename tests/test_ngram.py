@@ -66,7 +66,7 @@ def test_losses_like_a_loop(spark):
 
 @pytest.mark.parametrize("length, stride", [(8, 3), (5, 5), (200, 100), (4, 1)])
 def test_window_perplexity_like_the_loop(spark, length, stride):
-    loop, model = _Loop(TRAIN), train_bigrams(_frame(spark, TRAIN, "train"))
+    loop = _Loop(TRAIN)
     sequence = [x for t in HELD_OUT for x in t]
     losses = [None] + [loop.loss(a, b) for a, b in zip(sequence, sequence[1:])]
     n, previous, total = len(sequence), 0, 0.0
@@ -77,7 +77,10 @@ def test_window_perplexity_like_the_loop(spark, length, stride):
         previous = end
         if end == n:
             break
-    got = window_perplexity(_frame(spark, HELD_OUT), model, ["k"], length=length, stride=stride).first()
+    whole = _frame(spark, TRAIN, "train").unionByName(_frame(spark, HELD_OUT))
+    scores = window_perplexity(whole, ["test"], ["k"], length=length, stride=stride)
+    assert "Join" not in scores._jdf.queryExecution().executedPlan().toString()
+    got = scores.first()
     assert (got["split"], got["n_tokens"]) == ("test", n)
     assert got["perplexity"] == pytest.approx(math.exp(total / n))
     rows = spark.createDataFrame([("test", i, x) for i, x in enumerate(losses)], "split string, pos long, nll double")
@@ -86,10 +89,23 @@ def test_window_perplexity_like_the_loop(spark, length, stride):
 
 
 def test_corpora_without_pairs(spark):
-    model = train_bigrams(_frame(spark, TRAIN, "train"))
-    one = window_perplexity(_frame(spark, [["a"]]), model, ["k"]).first()
+    train = _frame(spark, TRAIN, "train")
+    one = window_perplexity(train.unionByName(_frame(spark, [["a"]])), ["test"], ["k"]).first()
     assert tuple(one) == ("test", 1, None)
-    assert window_perplexity(_frame(spark, [[], []]), model, ["k"]).count() == 0
+    assert window_perplexity(train.unionByName(_frame(spark, [[], []])), ["test"], ["k"]).count() == 0
+
+
+def test_small_temperature_and_no_limit(spark):
+    rows = [("a", "x", 3000), ("a", "y", 2900), ("a", "z", 1)]
+    pairs = spark.createDataFrame(rows, "token string, next_token string, n long")
+    sharp = next_token_candidates(pairs, temperature=0.01).orderBy("rank").collect()
+    weights = [1.0, (2900 / 3000) ** 100]
+    assert sharp[0]["p"] == pytest.approx(weights[0] / sum(weights))
+    assert next_token_candidates(pairs, top_k=0, top_p=1.0).count() == 3
+    assert next_token_candidates(pairs, top_k=None, top_p=1.0).count() == 3
+    for wrong in ({"temperature": -1.0}, {"top_k": -1}):
+        with pytest.raises(ValueError, match="negative"):
+            next_token_candidates(pairs, **wrong)
 
 
 def test_missing_baseline_gives_null(spark):

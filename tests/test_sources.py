@@ -117,8 +117,15 @@ def test_metric_files(spark, tmp_path):
 def test_reuse_of_finished_output_only(spark, tmp_path):
     path = str(tmp_path / "cache")
     assert reuse_or_write(spark.range(3), path).count() == 3
-    assert reuse_or_write(spark.range(9), path).count() == 3
+    first = (tmp_path / "cache" / "_SUCCESS").stat().st_mtime_ns
+    assert reuse_or_write(spark.range(3), path).count() == 3
+    assert (tmp_path / "cache" / "_SUCCESS").stat().st_mtime_ns == first
+    assert reuse_or_write(spark.range(9), path).count() == 9
+    assert reuse_or_write(spark.range(9).toDF("renamed"), path).columns == ["renamed"]
+    assert reuse_or_write(spark.range(9), path, parameters={"version": 2}).count() == 9
+    second = (tmp_path / "cache" / "_SUCCESS").stat().st_mtime_ns
     assert reuse_or_write(spark.range(9), path, overwrite=True).count() == 9
+    assert (tmp_path / "cache" / "_SUCCESS").stat().st_mtime_ns != second
     (tmp_path / "cache" / "_SUCCESS").unlink()
     assert reuse_or_write(spark.range(4), path).count() == 4
 
@@ -128,3 +135,20 @@ def test_source_columns_are_dropped_and_the_scan_is_pruned(spark, corpus):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<text:string>" in text
     assert "IsNotNull(text)" in text
+
+
+def test_a_file_without_text_is_an_error_with_a_schema_too(spark, tmp_path):
+    spark.range(5).select("id", F.col("id").cast("string").alias("other")).write.parquet(f"{tmp_path}/t")
+    with pytest.raises(ValueError, match="no column 'text'"):
+        read_text_parquet(spark, f"{tmp_path}/t", schema="id long, text string")
+    spark.range(5).select("id", F.col("id").cast("string").alias("text")).write.parquet(f"{tmp_path}/u")
+    with pytest.raises(ValueError, match="lacks id int"):
+        read_text_parquet(spark, f"{tmp_path}/u", schema="id int, text string")
+
+
+def test_file_order_over_several_files(spark, tmp_path):
+    rows = spark.range(100).select(F.format_string("%03d", "id").alias("text"))
+    rows.repartitionByRange(5, "text").sortWithinPartitions("text").write.parquet(f"{tmp_path}/t")
+    df = read_text_parquet(spark, f"{tmp_path}/t", file_order=True)
+    assert [r["text"] for r in df.orderBy("file_path", "row_index").collect()] == [f"{i:03d}" for i in range(100)]
+    assert read_text_parquet(spark, f"{tmp_path}/t", partitions=7).rdd.getNumPartitions() == 7

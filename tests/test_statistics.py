@@ -18,9 +18,23 @@ def test_an_empty_split_still_appears(encoded):
     }
 
 
-def test_head_statistics_use_the_first_rows(encoded):
-    got = {r["split"]: tuple(r)[1:] for r in head_statistics(encoded, ["k"], rows=3).collect()}
-    assert got == {"train": (5, 2.0, 1), "validation": (0, None, None), "test": (2, 1.0, 0)}
+def test_head_statistics_use_the_first_rows(spark):
+    rows = [(i, "train", "a " * (i + 1)) for i in range(5)] + [(9, "test", "b c"), (8, "test", "d" * 300), (7, "test", " ")]
+    df = spark.createDataFrame(rows, "k int, split string, text string")
+    got = {r["split"]: tuple(r)[1:] for r in head_statistics(df, ["k"], rows=3).collect()}
+    assert got == {
+        "train": (5, 2.0, 1, "a"),
+        "validation": (0, None, None, None),
+        "test": (2, 1.5, 1, "d" * 200),
+    }
+
+
+def test_head_statistics_tokenize_behind_a_key_filter(spark, tmp_path):
+    rows = [(i, "train", "a b") for i in range(50)]
+    spark.createDataFrame(rows, "k int, split string, text string").write.parquet(f"{tmp_path}/t")
+    found = head_statistics(spark.read.parquet(f"{tmp_path}/t"), ["k"], rows=3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert any("PushedFilters" in line and "LessThanOrEqual(k,2)" in line for line in plan.splitlines())
 
 
 def test_estimate_divides_by_the_rows_read(spark):

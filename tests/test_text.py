@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from corpusloom.functions import contains_text, sentence_count, strip, word_tokens
+from corpusloom.functions import contains_text, sentence_count, strip, whitespace_tokens, word_tokens
 from corpusloom.operators.selection import drop_blank
 
 SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
@@ -61,3 +61,10 @@ def test_sentences_of_any_text(spark, texts):
 def test_word_tokens_separate_letters_digits_and_marks(spark):
     text = F.lit("Café no. 12, ok?!")
     assert spark.range(1).select(word_tokens(text)).first()[0] == ["Café", "no", ".", "12", ",", "ok", "?!"]
+
+
+def test_tokens_end_at_any_unicode_white_space(spark):
+    space = ["\u00a0", "\u0085", "\u2003", "\u3000", "\x1c", "\x1f", "\v", " "]
+    df = spark.createDataFrame([(f"one{s}two",) for s in space], "text string")
+    for tokenizer in (whitespace_tokens, word_tokens):
+        assert {tuple(r[0]) for r in df.select(tokenizer("text")).collect()} == {("one", "two")}
