@@ -19,6 +19,7 @@ and html are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -60,8 +61,9 @@ SCOPE = frozenset("table td th caption template html".split())
 HEAD_CONTENT = frozenset("base link meta title style script noscript template head html".split())
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
+    r"<!--(?:-?>|.*?(?:-->|\Z))|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
 )
+_DECLARATION = re.compile(r"<[!?]")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _RAW_END = {tag: re.compile(f"</{tag}(?=[\\s/>])", re.IGNORECASE) for tag in RAW}
@@ -89,14 +91,20 @@ def parse(html: str) -> Node:
     """The tree of a page."""
     root = Node("html", {})
     stack = [root]
+    opened: Counter[str] = Counter()  # how often a tag is on the stack, so that deep pages are not searched in vain
+
+    def cut(i: int) -> None:
+        opened.subtract(node.tag for node in stack[i:])
+        del stack[i:]
 
     def close(tags: set[str], until: set[str]) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in until:
-                return
-            if stack[i].tag in tags:
-                del stack[i:]
-                return close(tags, until)
+        while any(opened[tag] for tag in tags):
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i].tag in until:
+                    return
+                if stack[i].tag in tags:
+                    cut(i)
+                    break
 
     def text(raw: str) -> None:
         if raw:
@@ -104,25 +112,27 @@ def parse(html: str) -> Node:
                 close({"head"}, {"html"})
             stack[-1].children.append(unescape(raw) if "&" in raw else raw)
 
-    at = 0
+    at, last = 0, html.rfind(">") + 1  # no tag ends behind
     while True:
-        match = _TOKEN.search(html, at)
+        match = _TOKEN.search(html, at, last)
         if match is None:
-            text(html[at:])
+            text(_DECLARATION.split(html[at:], maxsplit=1)[0])
             return root
         text(html[at : match.start()])
         at = match.end()
         end, tag, rest = match.groups()
         if tag is None:
+            if match[0].startswith("<!--") and not match[0].endswith("-->"):
+                return root
             continue
         tag = tag.lower()
         if end:
             if tag == "br":
                 stack[-1].children.append(Node("br", {}))
                 continue
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    cut(i)
                     break
                 if stack[i].tag in SCOPE and tag not in ("table", "body", "html", "tr", "tbody", "thead", "tfoot"):
                     break
@@ -144,6 +154,7 @@ def parse(html: str) -> Node:
             at = len(html) if stop is None else html.find(">", stop.end()) + 1 or len(html)
         elif tag not in VOID:
             stack.append(node)
+            opened[tag] += 1
 
 
 _DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
