@@ -4,12 +4,13 @@
 2. A randomised singular value decomposition of the TF-IDF matrix A of all passages: with
    a random matrix R every task adds up A'(A R) and (A R)'(A R) of its passages, the sums
    give the leading right singular vectors. One pass; sums have terms x rank numbers.
-3. Windows of every document, about as long as the items and an eighth apart, and the
-   items are projected to these vectors; windows near an item by cosine are candidates.
-   A window whose TF-IDF weight lies mostly on words that no item has is passed over
-   before that, as it can match none.
-4. Candidates are checked: the longest common subsequence of item and window region must
-   hold most of the item's words, or a good part of them and the item's answer.
+3. Regions of every document, twice as long as an item and an eighth of it apart, are
+   candidates for an item if they hold so many of its rarest words that its share of words
+   in order can be reached. Where few may be missing, few of any choice of words are: the
+   bound counts words and leaves out no region that step 4 would take.
+4. Candidates are checked: the longest common subsequence of item and region must hold
+   most of the item's words, or a good part of them and the item's answer. What passes is
+   given with the best cosine of item and windows of the region; the cosine decides nothing.
 
 The benchmark and what is made from it are constants of the plan, with a checked size.
 Documents are not shuffled; only sums are.
@@ -48,10 +49,8 @@ class Latent:
     rank: int = 32
     passage: int = 64
     least_words: int = 8
-    #: Share of a window's squared weight on words of the benchmark, and of the item.
-    benchmark_mass: float = 0.6
-    item_mass: float = 0.5
-    cosine: float = 0.6
+    #: Of an item's rarest words so many must occur in a region; more words are looked up for that.
+    rare_words: int = 4
     #: Share of an item's words in order that decides alone, or together with the answer.
     common: float = 0.8
     common_with_answer: float = 0.55
@@ -236,96 +235,125 @@ class Searcher:
     """Finds the pieces in texts. Made on the driver, used in tasks."""
 
     def __init__(self, pieces: list[Piece], weights: np.ndarray, basis: np.ndarray, p: Latent):
-        self.p, self.pieces, self.weights = p, pieces, weights
-        self.square = (weights**2).astype(np.float64)
+        self.p, self.pieces = p, pieces
         self.projected = (basis * weights[:, None]).astype(np.float32)
-        self.marked = np.zeros(1 << _BITS, bool)
-        self.by_length: dict[int, list[int]] = defaultdict(list)
-        keys = []
-        self.total = np.zeros(len(pieces))
+        self.size = np.array([len(piece.words) for piece in pieces])
+        self.need = np.ceil(np.round(p.common_with_answer * self.size, 9)).astype(np.int64)
+        self.region = self.size + 2 * (self.size // 2 + 1)
+        self.step = np.maximum(1, self.size // 8)
+        self.rare = np.minimum(p.rare_words, self.need)
+        self.full = np.array([(1 << len(piece.words)) - 1 for piece in pieces], np.uint64)
+        self.words = np.unique(np.concatenate([piece.words for piece in pieces]))
         vectors = np.zeros((len(pieces), basis.shape[1]), np.float32)
+        keys, masks, rare = [], [], []
         for i, piece in enumerate(pieces):
-            self.marked[(piece.words >> np.uint64(64 - _BITS)).astype(np.int64)] = True
-            self.by_length[self._length(len(piece.words))].append(i)
             terms = _terms(piece.words, p)
             vectors[i] = self.projected[terms].sum(axis=0)
-            self.total[i] = self.square[terms].sum()
-            keys.append(np.unique(terms) + i * p.terms)
+            own, place = np.unique(piece.words, return_inverse=True)
+            mask = np.zeros(len(own), np.uint64)
+            np.bitwise_or.at(mask, place, np.uint64(1) << np.arange(len(place), dtype=np.uint64))
+            keys.append(np.searchsorted(self.words, own) + i * len(self.words))
+            masks.append(mask)
+            # At most size - need words are missing, so of size - need + rare words at least rare are found.
+            looked = np.argsort(-weights[terms], kind="stable")[: len(terms) - self.need[i] + self.rare[i]]
+            rare.append(np.searchsorted(self.words, np.unique(piece.words[looked])) + i * len(self.words))
         self.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1), 1e-9)[:, None]
-        self.keys = np.concatenate(keys)
-
-    @staticmethod
-    def _length(words: int) -> int:
-        """Windows come in lengths a tenth apart."""
-        return round(8 * 1.1 ** round(np.log(words / 8) / np.log(1.1)))
+        self.keys, self.masks = np.concatenate(keys), np.concatenate(masks)
+        word, self.rare_piece = np.concatenate(rare) % len(self.words), np.concatenate(rare) // len(self.words)
+        order = np.argsort(word, kind="stable")
+        self.rare_piece = self.rare_piece[order]
+        self.rare_first = np.searchsorted(word[order], np.arange(len(self.words) + 1))
+        self.marked = np.zeros(1 << _BITS, bool)
+        self.marked[(self.words >> np.uint64(64 - _BITS)).astype(np.int64)] = True
 
     def search(self, hashes: np.ndarray, first: np.ndarray) -> list[tuple[int, int, float, float, bool, int, int]]:
         """(text, piece's item, cosine, common, answer, first word, words) of every match."""
-        p = self.p
-        terms = _terms(hashes, p)
-        square = self.square[terms]
-        whole = np.concatenate([[0.0], np.cumsum(square)])
-        known = np.concatenate([[0.0], np.cumsum(square * self.marked[(hashes >> np.uint64(64 - _BITS)).astype(np.int64)])])
-        text_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        regions: dict[tuple[int, int], list[tuple[int, int, float]]] = defaultdict(list)
-        for length, own in self.by_length.items():
-            begin = self._windows(first, length)
-            end = np.minimum(begin + length, first[text_of[begin] + 1])
-            mass = known[end] - known[begin]
-            likely = mass >= p.benchmark_mass * (whole[end] - whole[begin])
-            begin, end = begin[likely], end[likely]
-            for at in range(0, len(begin), 4096):
-                self._compare(terms, begin[at : at + 4096], end[at : at + 4096], own, text_of, regions)
-        return [hit for (text, i), spans in regions.items() if (hit := self._verify(hashes, first, text, i, spans))]
-
-    @staticmethod
-    def _windows(first: np.ndarray, length: int) -> np.ndarray:
-        """Starts an eighth of the length apart, and one whose window ends with the text."""
-        step = max(1, length // 8)
-        words = np.diff(first)
-        last = np.maximum(words - length, 0)
-        counts = np.where(words > 0, -(-last // step) + 1, 0)
-        before = np.cumsum(counts) - counts
-        turn = np.arange(counts.sum()) - np.repeat(before, counts)
-        return np.repeat(first[:-1], counts) + np.minimum(turn * step, np.repeat(last, counts))
-
-    def _compare(self, terms, begin, end, own, text_of, regions) -> None:
-        p = self.p
-        longest = int((end - begin).max())
-        places = begin[:, None] + np.arange(longest)
-        inside = places < end[:, None]
-        found = terms[np.minimum(places, len(terms) - 1)]
-        vectors = np.einsum("nlr,nl->nr", self.projected[found], inside.astype(np.float32))
-        vectors /= np.maximum(np.linalg.norm(vectors, axis=1), 1e-9)[:, None]
-        cosines = vectors @ self.vectors[own].T
-        window, which = np.nonzero(cosines >= p.cosine)
-        piece = np.array(own)[which]
-        looked = found[window] + piece[:, None] * p.terms
+        known = np.full(len(hashes), -1)
+        places = np.flatnonzero(self.marked[(hashes >> np.uint64(64 - _BITS)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(self.words, hashes[places]), len(self.words) - 1)
+        same = self.words[at] == hashes[places]
+        known[places[same]] = at[same]
+        piece, start, text = self._candidates(known, first)
+        stop = np.minimum(start + self.region[piece], first[text + 1])
+        passed: dict[tuple[int, int], list[tuple[int, int, int]]] = defaultdict(list)
+        for low in range(0, len(piece), 4096):
+            part = slice(low, low + 4096)
+            common = self._common(known, piece[part], start[part], stop[part])
+            for k in np.flatnonzero(common >= self.need[piece[part]]):
+                passed[int(text[low + k]), int(piece[low + k])].append((-int(common[k]), int(start[low + k]), int(stop[low + k])))
+        return [hit for (text, i), regions in passed.items() if (hit := self._verify(hashes, first, text, i, regions))]
+
+    def _candidates(self, known: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Piece, first word and text of the regions with enough of the piece's rarest words."""
+        place = np.flatnonzero(known >= 0)
+        word = known[place]
+        times = self.rare_first[word + 1] - self.rare_first[word]
+        before = np.cumsum(times) - times
+        entry = np.repeat(self.rare_first[word] - before, times) + np.arange(times.sum())
+        key = self.rare_piece[entry] * len(known) + np.repeat(place, times)
+        key.sort()
+        piece, place = np.divmod(key, max(len(known), 1))
+        last = np.arange(len(key)) + self.rare[piece] - 1
+        near = last < len(key)
+        last = np.minimum(last, len(key) - 1)
+        near &= (piece[last] == piece) & (place[last] - place < self.region[piece])
+        piece, place, last = piece[near], place[near], place[last[near]]
+        text = np.searchsorted(first, place, side="right") - 1
+        near = last < first[text + 1]
+        piece, place, last, text = piece[near], place[near], last[near], text[near]
+        begin, step, region = first[text], self.step[piece], self.region[piece]
+        low = np.maximum(0, -((begin + region - 1 - last) // step))
+        high = np.minimum((place - begin) // step, np.maximum(0, -((begin + region - first[text + 1]) // step)))
+        times = np.maximum(0, high - low + 1)
+        before = np.cumsum(times) - times
+        turn = np.repeat(low - before, times) + np.arange(times.sum())
+        key = np.unique(np.repeat(piece * len(known) + begin, times) + turn * np.repeat(step, times))
+        piece, start = np.divmod(key, max(len(known), 1))
+        return piece, start, np.searchsorted(first, start, side="right") - 1
+
+    def _common(self, known: np.ndarray, piece: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Longest common subsequences of pieces and regions; a bit per word of the piece, as in ``alignment``."""
+        places = start + np.arange(int((stop - start).max(initial=0)))[:, None]
+        found = known[np.minimum(places, len(known) - 1)]
+        found[places >= stop] = -1
+        row, column = np.nonzero(found >= 0)
+        looked = found[row, column] + piece[column] * len(self.words)
         at = np.minimum(np.searchsorted(self.keys, looked), len(self.keys) - 1)
-        mass = (self.square[found[window]] * (self.keys[at] == looked) * inside[window]).sum(axis=1)
-        for k in np.flatnonzero(mass >= p.item_mass * self.total[piece]):
-            w = window[k]
-            regions[int(text_of[begin[w]]), int(piece[k])].append((int(begin[w]), int(end[w]), float(cosines[w, which[k]])))
-
-    def _verify(self, hashes, first, text, i, spans):
-        """The best of the regions in which windows overlap, if it passes."""
+        match = np.zeros(found.shape, np.uint64)
+        match[row, column] = np.where(self.keys[at] == looked, self.masks[at], np.uint64(0))
+        enough = np.flatnonzero((match > 0).sum(axis=0) >= self.need[piece])
+        full = self.full[piece[enough]]
+        left = full.copy()
+        for own in match[:, enough]:
+            kept = left & own
+            left = ((left + kept) | (left - kept)) & full
+        common = np.zeros(len(piece), np.int64)
+        common[enough] = self.size[piece[enough]] - np.bitwise_count(left)
+        return common
+
+    def _cosine(self, terms: np.ndarray, i: int) -> float:
+        """The best cosine of the piece and windows of its length."""
+        size, step = int(self.size[i]), int(self.step[i])
+        sums = np.concatenate([np.zeros((1, self.vectors.shape[1])), np.cumsum(self.projected[terms], axis=0, dtype=np.float64)])
+        begin = np.arange(0, max(len(terms) - size, 0) + 1, step)
+        vectors = sums[np.minimum(begin + size, len(terms))] - sums[begin]
+        return float((vectors @ self.vectors[i] / np.maximum(np.linalg.norm(vectors, axis=1), 1e-9)).max())
+
+    def _verify(self, hashes, first, text, i, regions):
+        """The best of the regions that passes, one with the answer where they are alike."""
         p, piece = self.p, self.pieces[i]
-        slack = len(piece.words) // 4 + 1
-        best = None
-        spans.sort()
-        while spans:
-            start, stop, cosine = spans.pop(0)
-            while spans and spans[0][0] <= stop:
-                stop, cosine = max(stop, spans[0][1]), max(cosine, spans[0][2])
-                spans.pop(0)
-            start, stop = max(int(first[text]), start - slack), min(int(first[text + 1]), stop + slack)
-            region = hashes[start:stop]
-            common = common_subsequence(piece.words, region) / len(piece.words)
-            if common < p.common_with_answer:
-                continue
-            answered = bool(len(piece.answer)) and common_subsequence(piece.answer, region) >= p.answer_common * len(piece.answer)
-            if (common >= p.common or answered) and (best is None or common > best[3]):
+        best, reach = None, len(piece.answer)
+        for less, start, stop in sorted(regions):
+            common = -less / len(piece.words)
+            if best is not None and common < best[3]:
+                break
+            around = hashes[max(int(first[text]), start - reach) : min(int(first[text + 1]), stop + reach)]
+            answered = bool(reach) and common_subsequence(piece.answer, around) >= p.answer_common * reach
+            if answered or (best is None and common >= p.common):
+                cosine = self._cosine(_terms(hashes[start:stop], p), i)
                 best = (text, piece.item, cosine, common, answered, start - int(first[text]), stop - start)
+            if answered:
+                break
         return best
 
 
@@ -350,7 +378,7 @@ def contaminated(
         return narrow.limit(0).selectExpr("key", *[f"cast(null as {c.split()[1]}) as {c.split()[0]}" for c in OUTPUT.split(", ")])
     terms = written(_store_terms(narrow, p), f"{folder}/terms")
     held, passages = _frequencies(terms, p)
-    idf = np.log((passages + 1) / (held + 1)).astype(np.float32)
+    idf = np.log1p((passages + 1) / (held + 1)).astype(np.float32)
     searcher = spark.sparkContext.broadcast(Searcher(pieces, idf, _basis(terms, idf, p), p))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

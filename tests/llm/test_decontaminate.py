@@ -33,3 +33,57 @@ def test_empty_tables(spark):
     docs, items = tables(spark)
     assert contaminated(docs.limit(0), items).collect() == []
     assert contaminated(docs, items.limit(0)).collect() == []
+
+
+def by_all_regions(docs, items):
+    """(document, item) by the common subsequence of each item and every region of each document."""
+    found = {}
+    for d, text in docs:
+        words = text.split()
+        for i, item in items:
+            own = item.split()
+            n = len(own)
+            region, step = n + 2 * (n // 2 + 1), max(1, n // 8)
+            for at in range(0, max(0, len(words) - region) + step, step):
+                row = [0] * (n + 1)
+                for word in words[at : at + region]:
+                    above = row[:]
+                    for j in range(n):
+                        row[j + 1] = above[j] + 1 if word == own[j] else max(above[j + 1], row[j])
+                found[d, i] = max(found.get((d, i), 0), row[n] / n)
+    return found
+
+
+def reworded(item, share, seed, new):
+    rng, words = random.Random(seed), item.split()
+    last = len(words) - 4  # the answer stays
+    for place in rng.sample(range(last), min(last, round(share * len(words)))):
+        words[place] = f"new{seed}{place}" if new else rng.choice(WORDS)
+    return " ".join(words)
+
+
+def test_reworded_items_against_all_regions(spark):
+    items = [(i, f"{made(f'item{i}', 16 + 5 * i)}. {made(f'answer{i}', 4)}") for i in range(6)]
+    items = [(i, text.replace(".", ". ").replace("  ", " ")) for i, text in items]
+    plain = [(i, text.replace(".", "")) for i, text in items]
+    docs = []
+    for i, item in plain:
+        for share in (0.2, 0.25, 0.3, 0.35, 0.4, 0.45):
+            for new in (False, True):
+                d = len(docs)
+                docs.append((d, f"{made(f'a{d}', 40 + d % 9)} {reworded(item, share, d, new)} {made(f'b{d}', 30)}"))
+    docs += [(len(docs) + k, made(f"clean{k}", 120)) for k in range(6)]
+    docs += [(len(docs) + k, f"{made(f'c{k}', 20)} {plain[0][1]}") for k in range(40)]  # an item in over a third
+    exact = by_all_regions(docs, plain)
+    rows = contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    found = {(r["key"], r["item"]): r["common"] for r in rows}
+    answers = {i: text.split()[-4:] for i, text in plain}
+    told = dict(docs)
+    for pair, common in exact.items():
+        if common >= 0.8 or (common >= 0.55 and " ".join(answers[pair[1]]) in told[pair[0]]):
+            assert found[pair] == common, pair
+        elif common < 0.55:
+            assert pair not in found
+    assert len(found) >= 40 + 60
