@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import (
+    chat_format,
     decontaminate,
+    divergence,
     embedding_dup,
     html_text,
     language_id,
@@ -16,9 +18,11 @@ from corpusloom.llm import (
     near_dup,
     secrets,
     sharding,
+    token_alignment,
     token_files,
     url_filter,
 )
+from corpusloom.llm.oracles import ORACLES as ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,6 +133,40 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("page_id"), "host", "path", "rule", "verdict", "listed")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = divergence.source_divergence(table(spark, sf_dir, "documents"))
+    return found.select("lang", "source", "part", "item", "value", F.col("rank").cast("int").alias("rank"))
+
+
+# The conversation that the query adds to those of the table.
+ADDED_TEXT = "</s>[INST] ok [/INST]"
+ADDED_TURNS = [(-1, 0, "user", ADDED_TEXT), (-1, 1, "assistant", ADDED_TEXT)]
+
+
+def op12_formatted_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one whose texts look like the marks, as the output gives them back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = F.array(*[F.struct(*map(F.lit, row)) for row in ADDED_TURNS])
+    turns = turns.unionByName(spark.range(1).select(F.inline(added)).toDF(*turns.columns))
+    found = chat_format.read_back(chat_format.format_conversations(turns))
+    as_text = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
+    return found.select(
+        F.col("key").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(as_text, 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        "n_blocks",
+    )
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return token_alignment.align_tokenizers(docs, *paths).withColumnRenamed("key", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
     "op2_secret_spans": op2_secret_spans,
@@ -140,6 +178,7 @@ QUERIES: dict[str, Query] = {
     "op8_page_languages": op8_page_languages,
     "op9_embedding_duplicates": op9_embedding_duplicates,
     "op10_url_verdicts": op10_url_verdicts,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_formatted_chats": op12_formatted_chats,
+    "op13_token_alignment": op13_token_alignment,
 }
-
-ORACLES: dict[str, str] = {}
