@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.operators.ordering import Running, with_running
+from corpusloom.operators.ordering import Running, range_count, with_running
 
 # Default batch settings.
 BATCH_SIZE = 4
@@ -18,10 +18,9 @@ def epoch_order(examples: DataFrame, key: str, *, epochs: int = EPOCHS, seed: in
     """A seeded permutation of the rows per epoch: ``(epoch, position, key)``.
 
     Rows are ordered by a hash of (seed, epoch, key). Its leading digits cut that order
-    into ranges of equal size, so no sampling pass is needed.
+    into ranges of equal size, so no sampling pass is needed; how many follows the rows.
     """
-    spark = examples.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = range_count(examples)
     epoch = F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))
     rows = examples.select(F.col(key), epoch.alias("epoch"))
     text = F.concat_ws(":", F.lit(str(seed)), F.col("epoch").cast("string"), F.col(key).cast("string"))

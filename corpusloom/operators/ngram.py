@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ from corpusloom.session import materialize
 TEMPERATURE = 1.0
 TOP_K = 50
 TOP_P = 0.95
+#: Decimal places to which shares are compared with ``top_p`` where weights are not whole numbers.
+SHARE_PLACES = 12
 #: Names the group of a split's first window.
 FIRST = ":first window"
 
@@ -362,8 +365,9 @@ def next_token_candidates(
 
     Temperature first, then the ``top_k`` most likely (``None`` or 0: all), then the
     smallest set of them that reaches ``top_p``. ``p`` and ``cum_p`` refer to the
-    ``top_k``. Temperature 0 is greedy. Counts are taken relative to the largest of their
-    context, so that small temperatures do not overflow. With ``top_k`` each task keeps
+    ``top_k``. Temperature 0 is greedy. At temperature 1 the cut at ``top_p`` is exact; at
+    others counts are taken relative to the largest of their context, so that small
+    temperatures do not overflow, and shares count as rounded to ``SHARE_PLACES``. With ``top_k`` each task keeps
     that many rows of a context before the shuffle, and the tasks are merged in two steps;
     without it all rows of a context meet in one task.
     """
@@ -377,15 +381,27 @@ def next_token_candidates(
         kept = kept.withColumn("rank", F.row_number().over(ordered))
         kept = kept.where(F.col("rank") <= top_k) if top_k else kept
     context = Window.partitionBy("token")
-    kept = kept.withColumn("_weight", F.pow(F.col("n") / F.max("n").over(context), F.lit(1.0 / temperature)))
+    # At temperature 1 the weights are whole numbers and the cut compares whole numbers.
+    exact = temperature == 1
+    weight = F.col("n") if exact else F.pow(F.col("n") / F.max("n").over(context), F.lit(1.0 / temperature))
+    kept = kept.withColumn("_weight", weight)
     kept = kept.withColumn("_sum", F.sum("_weight").over(context)).withColumn(
         "_upto", F.sum("_weight").over(Window.partitionBy("token").orderBy("rank"))
     )
-    before = (F.col("_upto") - F.col("_weight")) / F.col("_sum")
-    return kept.where((F.col("rank") == 1) | (before < top_p)).select(
+    before = F.col("_upto") - F.col("_weight")
+    if exact:
+        part, whole = Fraction(str(top_p)).as_integer_ratio()
+        inside = _whole(before) * _whole(whole) < _whole(F.col("_sum")) * _whole(part)
+    else:
+        inside = F.round(before / F.col("_sum"), SHARE_PLACES) < top_p
+    return kept.where((F.col("rank") == 1) | inside).select(
         "token",
         "next_token",
         "rank",
         (F.col("_weight") / F.col("_sum")).alias("p"),
         (F.col("_upto") / F.col("_sum")).alias("cum_p"),
     )
+
+
+def _whole(value: Column | int) -> Column:
+    return (F.lit(value) if isinstance(value, int) else value).cast("decimal(19,0)")

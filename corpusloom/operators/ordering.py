@@ -77,7 +77,7 @@ class KeyRanges:
         return F.element_at(constant, F.col(range_column) + 1)
 
 
-def _range_count(rows: DataFrame, weight: Column | None) -> int:
+def range_count(rows: DataFrame, weight: Column | None = None) -> int:
     """Twice the shuffle partitions, more if a range would exceed ``RANGE_ROWS`` rows or weight."""
     total = F.count(F.lit(1))
     if weight is not None:
@@ -96,7 +96,7 @@ def key_ranges(
     tasks. ``weight`` is what else a row brings along, such as tokens: their sum raises
     the number of ranges. One row per range comes to the driver.
     """
-    parts = parts or _range_count(df, weight)
+    parts = parts or range_count(df, weight)
     keys = df.select(*order_by)
     found = (
         keys.repartitionByRange(parts, *order_by)

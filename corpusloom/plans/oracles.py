@@ -234,7 +234,7 @@ ORACLES: dict[str, str] = {
                  sum(w) OVER (PARTITION BY token ORDER BY rank ROWS UNBOUNDED PRECEDING) AS upto
           FROM ranked WHERE rank <= 50)
         SELECT token, next_token, rank::INT AS rank, round(w / s, 6) AS p, round(upto / s, 6) AS cum_p
-        FROM summed WHERE rank = 1 OR (upto - w) / s < 0.95""",
+        FROM summed WHERE rank = 1 OR round((upto - w) / s, 12) < 0.95""",
     "epoch_shuffle": f"WITH {_EPOCHS} SELECT epoch, position, doc_id FROM epochs",
     "batch_plan": f"""WITH {_EPOCHS}, total AS (SELECT count(*) AS n FROM docs WHERE split = 'train')
         SELECT epoch, doc_id, position // 8 AS micro_batch, (position // 4 % 2)::INT AS rank,

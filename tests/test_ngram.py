@@ -133,3 +133,21 @@ def test_candidates_like_a_loop(spark, temperature, top_k, top_p):
     assert {(r["token"], r["next_token"]) for r in got} == set(expected)
     for r in got:
         assert (r["rank"], r["p"], r["cum_p"]) == pytest.approx(expected[(r["token"], r["next_token"])])
+
+
+def test_candidates_that_reach_the_share_exactly(spark):
+    """Counts whose first entries are exactly 95 % of their context; the next entry is left out."""
+    contexts = {
+        "hundred": [25, 23, 22, 25, 3, 2],
+        "of_120": [12] * 9 + [6] + [3, 2, 1],
+        "twelve": [12, 12, 12, 12, 12, 12, 12, 11, 3, 1, 1],
+        "just_below": [12] * 9 + [5] + [4, 2, 1],
+    }
+    rows = [(token, f"w{i:02}", n) for token, counts in contexts.items() for i, n in enumerate(counts)]
+    pairs = spark.createDataFrame(rows, "token string, next_token string, n bigint")
+    got = Counter(r["token"] for r in next_token_candidates(pairs).collect())
+    for token, counts in contexts.items():
+        counts = sorted(counts, reverse=True)
+        kept = [i for i in range(len(counts)) if i == 0 or 100 * sum(counts[:i]) < 95 * sum(counts)]
+        assert got[token] == len(kept), token
+    assert got["hundred"] == 4 and got["of_120"] == 10

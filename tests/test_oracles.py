@@ -9,7 +9,7 @@ from __spark_entry__ import entry
 from corpusloom.plans.oracles import ORACLES
 from corpusloom.plans.queries import QUERIES
 
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
 def test_every_query_has_a_counterpart():
