@@ -63,6 +63,37 @@ def learning_rate(
     return F.lit(peak) * F.when(step < warmup, step / F.greatest(F.lit(1), warmup)).otherwise(falling)
 
 
+def metric_log(
+    metrics: DataFrame,
+    *,
+    total_steps: int,
+    steps_per_epoch: int,
+    logging_steps: int = LOGGING_STEPS,
+    eval_steps: int = EVAL_STEPS,
+    **schedule: float,
+) -> DataFrame:
+    """The columns of a run log from ``(run_id, step, loss, timestamp)``, for tables and streams.
+
+    A step at the evaluation interval has its loss as ``eval_loss``, with perplexity; any
+    other has it as ``train_loss``, with the learning rate. Steps off the logging interval
+    are left out.
+    """
+    step = F.col("step")
+    evaluates = step % eval_steps == 0
+    rate = learning_rate(step, F.lit(total_steps), **schedule)
+    rows = at_interval(metrics, logging_steps).select(
+        "run_id",
+        "step",
+        (step / steps_per_epoch).alias("epoch"),
+        F.when(~evaluates, F.col("loss")).alias("train_loss"),
+        F.when(~evaluates, rate).alias("learning_rate"),
+        F.when(evaluates, F.col("loss")).alias("eval_loss"),
+        "timestamp",
+    )
+    log = with_perplexity(rows)
+    return log.select(*log.columns[:6], "eval_perplexity", "timestamp")
+
+
 def lr_schedule(log: DataFrame, **settings: float) -> DataFrame:
     """The learning rate of every logged step; a run's last step is its total.
 

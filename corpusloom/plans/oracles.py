@@ -79,6 +79,11 @@ runs AS (
          value AS eval_loss
   FROM events
 )"""
+_TIMED = r"""
+timed AS (
+  SELECT user_id AS run_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS step, value AS loss, ts
+  FROM events
+)"""
 _EPOCHS = _DOCS + r""",
 epochs AS (
   SELECT e.epoch, d.doc_id,
@@ -295,4 +300,61 @@ ORACLES: dict[str, str] = {
     "event_cadence": f"""WITH {_RUNS}
         SELECT run_id, step, step % 5 = 0 OR step = 1 AS logs, step % 10 = 0 AS evaluates, step % 20 = 0 AS saves
         FROM runs""",
+    "metric_log_stream": f"""WITH {_TIMED}, logged AS (
+          SELECT *, step % 10 = 0 AS evaluates FROM timed WHERE step % 5 = 0)
+        SELECT sink, run_id, step, round(step / 20.0, 6) AS epoch, CASE WHEN NOT evaluates THEN loss END AS train_loss,
+               CASE WHEN NOT evaluates THEN round(0.0005::DOUBLE * CASE WHEN step < 10 THEN step / 10.0::DOUBLE
+                   ELSE greatest(0.0, 0.5 * (1 + cos(pi() * ((step - 10) / 90::DOUBLE)))) END, 10) END AS learning_rate,
+               CASE WHEN evaluates THEN loss END AS eval_loss,
+               CASE WHEN evaluates AND loss <> 0 THEN format('{{:.6e}}', exp(loss))::DOUBLE END AS eval_perplexity,
+               strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp
+        FROM logged CROSS JOIN (SELECT unnest(['table', 'csv']) AS sink)""",
+    "resumed_log_stream": f"""WITH {_TIMED}, broken AS (
+          SELECT *, max(step) OVER (PARTITION BY run_id) * 2 // 3 AS last_step FROM timed)
+        SELECT run_id, step, CASE WHEN step <= last_step THEN loss ELSE loss * 1.5 END AS loss FROM broken""",
+    "prepared_stream": f"""WITH {_IDS}, versions AS (
+          SELECT doc_id, pos, CASE WHEN doc_id % 4 >= 2 AND id >= 1000 THEN 1 ELSE id END AS id,
+                 CASE WHEN doc_id % 4 >= 2 THEN 2 ELSE 1 END AS vocabulary_version
+          FROM ids WHERE pos < 512)
+        SELECT doc_id, count(*)::INT AS n_tokens, md5(string_agg(id::VARCHAR, ' ' ORDER BY pos)) AS ids_md5,
+               vocabulary_version::BIGINT AS vocabulary_version
+        FROM versions GROUP BY doc_id, vocabulary_version""",
+    "run_log_source": f"""WITH {_TIMED}, logged AS (
+          SELECT *, step % 10 = 0 AS evaluates FROM timed WHERE step % 5 = 0)
+        SELECT run_id, step, round(step / 20.0, 6) AS epoch, CASE WHEN NOT evaluates THEN loss END AS train_loss,
+               CASE WHEN NOT evaluates THEN round(0.0005::DOUBLE * CASE WHEN step < 10 THEN step / 10.0::DOUBLE
+                   ELSE greatest(0.0, 0.5 * (1 + cos(pi() * ((step - 10) / 90::DOUBLE)))) END, 10) END AS learning_rate,
+               CASE WHEN evaluates THEN loss END AS eval_loss,
+               CASE WHEN evaluates AND loss <> 0 THEN format('{{:.6e}}', exp(loss))::DOUBLE END AS eval_perplexity,
+               strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp
+        FROM logged""",
+    "written_subset": """SELECT count(*) AS subset_rows, sum(strlen(text))::BIGINT AS text_bytes, max(doc_id) AS last_id,
+               true AS on_disk
+        FROM (SELECT * FROM documents ORDER BY doc_id LIMIT 100)""",
+    "named_corpus": f"""WITH {_DOCS}
+        SELECT split, doc_id, md5(text || CASE split WHEN 'validation' THEN ' (second edition)' ELSE '' END) AS text_md5
+        FROM docs WHERE split IN ('validation', 'test')""",
+    "incremental_counts": f"WITH {_TOKS} SELECT doc_id, len(tokens)::BIGINT AS n_tokens FROM toks",
+    "scored_window_perplexity": f"""WITH {_IDS} {_WINDOWS}, small AS (
+          SELECT doc_id, split, pos, CASE WHEN id < 1000 THEN id ELSE 1 END AS id FROM ids),
+        neighbours AS (
+          SELECT split, id AS a, lead(id) OVER (PARTITION BY doc_id ORDER BY pos) AS b FROM small WHERE split = 'train'),
+        model AS (SELECT a, b, count(*) AS n FROM neighbours WHERE b IS NOT NULL GROUP BY a, b),
+        contexts AS (SELECT a, sum(n) AS n FROM model GROUP BY a),
+        sequence AS (
+          SELECT split, id AS b, lag(id) OVER (PARTITION BY split ORDER BY doc_id, pos) AS a,
+                 row_number() OVER (PARTITION BY split ORDER BY doc_id, pos) - 1 AS spot
+          FROM small WHERE split <> 'train'),
+        losses AS (
+          SELECT q.split, k.b, k.e - k.p AS trg_len,
+                 -ln((coalesce(m.n, 0) + 1.0::DOUBLE) / (coalesce(c.n, 0) + 1000)) AS nll
+          FROM sequence q
+          JOIN kept k ON q.split = k.split AND q.spot >= k.p AND q.spot < k.e
+          LEFT JOIN model m ON q.a = m.a AND q.b = m.b
+          LEFT JOIN contexts c ON q.a = c.a
+          WHERE q.a IS NOT NULL),
+        means AS (SELECT split, b, trg_len, avg(nll) AS mean FROM losses GROUP BY split, b, trg_len)
+        SELECT split, sum(trg_len)::BIGINT AS n_tokens, round(exp(sum(mean * trg_len) / sum(trg_len)), 4) AS perplexity
+        FROM means GROUP BY split""",
 }
+ORACLES["early_stop_stream"] = ORACLES["early_stop"]

@@ -62,6 +62,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the checkpoint folder, removed when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/work/{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    filesystem = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    filesystem.mkdirs(target)
+    filesystem.deleteOnExit(target)
+    return path
+
+
 def drop_materialized(spark: SparkSession) -> int:
     """Delete the tables that :func:`materialize` has written in this application so far.
 

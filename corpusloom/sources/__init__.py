@@ -3,6 +3,7 @@ from corpusloom.sources.corpus import (
     read_named_split,
     read_splits,
     read_text_parquet,
+    write_corpus,
 )
 from corpusloom.sources.sinks import (
     RUN_LOG_SCHEMA,
@@ -22,6 +23,7 @@ __all__ = [
     "read_splits",
     "read_text_parquet",
     "reuse_or_write",
+    "write_corpus",
     "write_metric_json",
     "write_subset",
 ]

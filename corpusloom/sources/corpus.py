@@ -84,6 +84,12 @@ def alias_split(df: DataFrame, source: str = "validation", alias: str = "test",
     return kept.withColumn(split, F.explode(names))
 
 
+def write_corpus(df: DataFrame, path: str, split: str = "split") -> None:
+    """Write the splits that ``df`` holds as partitions of a corpus; other splits stay as they are."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(split).parquet(path)
+
+
 def read_named_split(
     spark: SparkSession,
     registry: Mapping[str, str],

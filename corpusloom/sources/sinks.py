@@ -8,7 +8,7 @@ import re
 from collections.abc import Mapping
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # The columns of a run log, after the run they belong to.
@@ -22,21 +22,26 @@ _LOG_OPTIONS = {"header": "true", "nullValue": "", "timestampFormat": "yyyy-MM-d
 class WrittenSubset(NamedTuple):
     rows: int
     bytes: int
+    measures: dict[str, object]
 
 
-def _filesystem(spark: SparkSession, path: str):
+def filesystem_of(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def write_subset(df: DataFrame, path: str) -> WrittenSubset:
-    """Write ``df`` as Parquet and report how many rows and bytes were written."""
-    df.write.mode("overwrite").parquet(path)
-    spark = df.sparkSession
-    filesystem, target = _filesystem(spark, path)
+def write_subset(df: DataFrame, path: str, measures: Mapping[str, Column] | None = None) -> WrittenSubset:
+    """Write ``df`` as Parquet and report the rows and bytes written, and other aggregates if asked.
+
+    Rows and aggregates are observed while they are written; nothing is read again.
+    """
+    seen = Observation()
+    asked = [column.alias(name) for name, column in (measures or {}).items()]
+    df.observe(seen, F.count(F.lit(1)).alias("_rows"), *asked).write.mode("overwrite").parquet(path)
+    found = dict(seen.get)
+    filesystem, target = filesystem_of(df.sparkSession, path)
     return WrittenSubset(
-        rows=spark.read.parquet(path).count(),
-        bytes=filesystem.getContentSummary(target).getLength(),
+        rows=found.pop("_rows"), bytes=filesystem.getContentSummary(target).getLength(), measures=found
     )
 
 
@@ -70,7 +75,7 @@ def _fingerprint(df: DataFrame, parameters: Mapping[str, object]) -> str:
     spark = df.sparkSession
     files = []
     for name in sorted(df.inputFiles()):
-        filesystem, path = _filesystem(spark, name)
+        filesystem, path = filesystem_of(spark, name)
         status = filesystem.getFileStatus(path)
         files.append([name, status.getLen(), status.getModificationTime()])
     plan = re.sub(r"#\d+L?|plan_id=\d+", "", df._jdf.queryExecution().optimizedPlan().canonicalized().toString())
@@ -89,8 +94,8 @@ def reuse_or_write(
     """
     spark = df.sparkSession
     fingerprint = _fingerprint(df, parameters or {})
-    filesystem, done = _filesystem(spark, path + "/_SUCCESS")
-    _, mark = _filesystem(spark, path + "/_fingerprint")
+    filesystem, done = filesystem_of(spark, path + "/_SUCCESS")
+    _, mark = filesystem_of(spark, path + "/_fingerprint")
     same = False
     if not overwrite and filesystem.exists(done) and filesystem.exists(mark):
         stream = filesystem.open(mark)

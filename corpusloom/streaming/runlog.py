@@ -1,14 +1,15 @@
-"""Run logs as streams: enriched log and early stopping while runs go on."""
+"""Run logs as streams: enriched log, resumed runs and early stopping while runs go on."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from corpusloom.operators.runlog import (
     LOGGING_STEPS,
@@ -17,6 +18,11 @@ from corpusloom.operators.runlog import (
     with_perplexity,
 )
 
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: An evaluation that waits for earlier ones: time in microseconds, step and score.
+WAITING = np.dtype([("at", "<i8"), ("step", "<i8"), ("score", "<f8")])
+
 
 def enriched_log(events: DataFrame, every: int = LOGGING_STEPS) -> DataFrame:
     """Metric events at the logging interval, with perplexity. Also works on a batch table."""
@@ -35,45 +41,137 @@ def write_log_stream(log: DataFrame, path: str, checkpoint: str) -> StreamingQue
     )
 
 
+def without_repeated_steps(events: DataFrame, time: str, delay: str) -> DataFrame:
+    """The first event of each ``(run_id, step)``; a resumed run repeats steps after its checkpoint.
+
+    A step is remembered until event time has moved on by ``delay`` from its first event,
+    so state is bounded; a run must be resumed within that time. Events that come later
+    than ``delay`` behind the newest one are dropped.
+    """
+    return events.withWatermark(time, delay).dropDuplicatesWithinWatermark(["run_id", "step"])
+
+
+def with_state_store(spark: SparkSession) -> SparkSession:
+    """A session whose streams may use timers and lists as state; the given one is not changed."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set(_STATE_STORE, _ROCKSDB)
+    return own
+
+
+def advance(
+    scores: np.ndarray, best: float | None, waited: int, patience: int, threshold: float
+) -> tuple[int | None, float | None, int]:
+    """Go through scores in order: the place of the stop or None, the best so far, and how many failed to improve."""
+    if not len(scores):
+        return None, best, waited
+    start = np.inf if best is None else best
+    before = np.minimum.accumulate(np.concatenate([[start], scores]))[:-1]
+    gain = before - scores
+    improved = (gain > 0) & (gain > threshold)
+    improved[0] |= best is None
+    place = np.arange(len(scores))
+    last = np.maximum.accumulate(np.where(improved, place, -1))
+    waits = np.where(last >= 0, place - last, waited + 1 + place)
+    stops = np.flatnonzero(waits >= patience)
+    return (int(stops[0]) if len(stops) else None), float(min(start, scores.min())), int(waits[-1])
+
+
+class _EarlyStop(StatefulProcessor):
+    """Per run: evaluations wait until the watermark has passed them, then count in step order.
+
+    Waiting evaluations are kept as binary chunks, one per group of arrived rows. One timer
+    per run stands at its earliest waiting evaluation.
+    """
+
+    def __init__(self, patience: int, threshold: float):
+        self.patience, self.threshold = patience, threshold
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._reached = handle.getValueState("reached", "best double, waited bigint, stopped boolean, timer bigint")
+        self._waiting = handle.getListState("waiting", "rows binary")
+
+    def _state(self) -> tuple:
+        return self._reached.get() if self._reached.exists() else (None, 0, False, None)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        best, waited, stopped, timer = self._state()
+        for frame in rows:
+            if stopped or frame.empty:
+                continue
+            chunk = np.empty(len(frame), WAITING)
+            for name in WAITING.names:
+                chunk[name] = frame[f"waiting_{name}"].to_numpy()
+            self._waiting.appendValue((chunk.tobytes(),))
+            timer = self._timer(int(chunk["at"].min()), timer)
+        self._reached.update((best, waited, stopped, timer))
+        return iter([])
+
+    def _timer(self, at: int, timer: int | None) -> int:
+        """Have the timer of the run stand at or before the time ``at``."""
+        due = -(-at // 1000)
+        if timer is not None and timer <= due:
+            return timer
+        if timer is not None:
+            self._handle.deleteTimer(timer)
+        self._handle.registerTimer(due)
+        return due
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        best, waited, stopped, _ = self._state()
+        if stopped:
+            return
+        rows = np.concatenate([np.frombuffer(chunk[0], WAITING) for chunk in self._waiting.get()])
+        passed = rows["at"] <= timerValues.getCurrentWatermarkInMs() * 1000
+        due, later = np.sort(rows[passed], order=["step", "at"]), rows[~passed]
+        stop, best, waited = advance(due["score"], best, int(waited), self.patience, self.threshold)
+        self._waiting.clear()
+        timer = None
+        if stop is None and len(later):
+            self._waiting.appendValue((later.tobytes(),))
+            timer = self._timer(int(later["at"].min()), None)
+        self._reached.update((best, waited, stop is not None, timer))
+        if stop is not None:
+            yield pd.DataFrame({"run_id": [key[0]], "stop_step": [int(due["step"][stop])]})
+
+    def close(self) -> None:
+        pass
+
+
 def early_stop_stream(
     events: DataFrame,
     *,
+    time: str,
+    delay: str,
     patience: int = PATIENCE,
     threshold: float = 0.0,
     metric: str = "eval_loss",
     greater_is_better: bool = False,
 ) -> DataFrame:
-    """Emit ``(run_id, stop_step)`` once per run, in the micro-batch in which it stops.
+    """Emit ``(run_id, stop_step)`` once per run, as soon as it is certain.
 
-    Per run the state holds three numbers. Rows are sorted by step within a micro-batch;
-    a step that arrives after a later step of an earlier micro-batch counts as arriving
-    then. A micro-batch is bounded by the source options, such as ``maxFilesPerTrigger``.
+    Evaluations may arrive in any order within ``delay`` of event time; they count in step
+    order once the watermark has passed them, and later ones are dropped. Steps of a run
+    must not run against its time. The stream's session needs the state store of
+    :func:`with_state_store`. State per run is what has arrived within ``delay``.
     """
     if patience < 1:
         raise ValueError("patience must be at least 1 for a stream")
-
-    def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        best, waited, stopped = state.get if state.exists else (None, 0, False)
-        if stopped:
-            return
-        rows = pd.concat(list(batches)).sort_values("step")
-        for step, score in zip(rows["step"].tolist(), rows["_score"].tolist()):
-            gain = None if best is None else best - score
-            waited = 0 if gain is None or (gain > 0 and gain > threshold) else waited + 1
-            best = score if best is None else min(best, score)
-            if waited >= patience:
-                state.update((best, waited, True))
-                yield pd.DataFrame({"run_id": [key[0]], "stop_step": [step]})
-                return
-        state.update((best, waited, False))
-
     score = -F.col(metric) if greater_is_better else F.col(metric)
     run_type = events.schema["run_id"].dataType.simpleString()
-    rows = events.where(F.col(metric).isNotNull()).select("run_id", "step", score.alias("_score"))
-    return rows.groupBy("run_id").applyInPandasWithState(
-        advance,
+    rows = events.withWatermark(time, delay).where(F.col(metric).isNotNull())
+    rows = rows.select(
+        "run_id",
+        F.col(time),
+        F.unix_micros(time).alias("waiting_at"),
+        F.col("step").cast("bigint").alias("waiting_step"),
+        score.cast("double").alias("waiting_score"),
+    )
+    return rows.groupBy("run_id").transformWithStateInPandas(
+        statefulProcessor=_EarlyStop(patience, threshold),
         outputStructType=f"run_id {run_type}, stop_step bigint",
-        stateStructType="best double, waited bigint, stopped boolean",
         outputMode="append",
-        timeoutConf=GroupStateTimeout.NoTimeout,
+        timeMode="eventTime",
     )

@@ -5,9 +5,8 @@ import os
 import pytest
 from oracle import differences
 
-from __spark_entry__ import entry
+from __spark_entry__ import QUERIES, entry
 from corpusloom.plans.oracles import ORACLES
-from corpusloom.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
