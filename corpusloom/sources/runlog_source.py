@@ -90,7 +90,9 @@ class _Parts:
         found = (_PART.fullmatch(name) for name in _names(self.path))
         return [LogPart(m[0]) for m in found if m and int(m[1]) in numbers]
 
-    def read(self, partition: LogPart) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: LogPart | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # what Spark reads where there are no parts
+            return
         system, folder = _place(self.path)
         columns = _arrow_schema(self.schema)
         header = csv.read_csv(system.open_input_stream(f"{folder}/{_HEADER}"))
