@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,3 +50,23 @@ def write_file(uri: str, chunks: Iterable[bytes]) -> None:
 def open_file(uri: str):
     system, path = fs.FileSystem.from_uri(uri)
     return system.open_input_file(path)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Jobs that run inside hand rows to Python in batches of about ``size``."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def release_memory() -> None:
+    """Give back to the system what this Python worker has kept from earlier tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

@@ -26,6 +26,7 @@ import re
 import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.files import drop_folder, open_file, shared_folder, write_file, written
+from corpusloom.llm.files import (
+    drop_folder,
+    open_file,
+    release_memory,
+    shared_folder,
+    small_batches,
+    write_file,
+    written,
+)
 
 MAGIC = b"CLSVB001"
 HEADER = struct.Struct("<8sQQQ")
@@ -44,11 +53,15 @@ BLOCK_IDS = 1 << 20
 #: Ids in a file, about.
 FILE_IDS = 1 << 25
 #: Words whose ids a Python worker remembers before it starts anew.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 300_000
 
 #: The tokenizer's rule of words, written for letters up to U+024F, where the regular
 #: expression engines agree on classes. Other texts go to the tokenizer whole.
 _WORD = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+#: The character by which a byte-level vocabulary writes each byte: printable ones of Latin-1
+#: stand for themselves, the others are U+0100 and on in their order.
+_BYTE_LEVEL = {b: chr(b) for b in range(256) if 0x21 <= b <= 0x7E or (0xA1 <= b and b != 0xAD)}
+_BYTE_LEVEL |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _BYTE_LEVEL)}
 _PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ɏ]*")
 _SPACES = re.compile(r"\s ")
 
@@ -60,49 +73,43 @@ class WordCache:
     turn. A space after a visible character always begins a word, so texts are first cut
     at spaces, and the pieces of a batch are told apart by Arrow's dictionary encoding;
     only pieces not seen before are cut into words, and only new words go to the
-    tokenizer, many at a time, on lines of their own.
+    tokenizer's merging.
     """
 
-    def __init__(self, path: str, special_as_text: bool = True):
+    def __init__(self, path: str, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
         #: Of tokens that are cut out before words are: texts that hold one go to the tokenizer whole.
         self.special = [] if special_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.line_end = self.whole("\n")
         self.ids: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        encoded = self.tokenizer.encode_batch_fast(["\n".join(words)], add_special_tokens=False)[0]
-        ids = np.array(encoded.ids, "<u4")
-        ends = np.flatnonzero(ids == np.frombuffer(self.line_end, "<u4")[0])
-        if len(self.line_end) != 4 or len(ends) != len(words) - 1:
-            self.ids.update((word, self.whole(word)) for word in words)
-            return
-        raw = ids.tobytes()
-        cuts = [-4, *(4 * ends).tolist(), len(raw)]
-        self.ids.update((word, raw[cuts[i] + 4 : cuts[i + 1]]) for i, word in enumerate(words))
+        """Ids of words that the rule has cut: what is left to the library is the merging."""
+        merged = self.tokenizer.model.tokenize
+        spelled = "\n".join(words).encode().decode("latin-1").translate(_BYTE_LEVEL).split(_BYTE_LEVEL[ord("\n")])
+        ids = [[token.id for token in merged(letters)] for letters in spelled]
+        raw = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
+        ends = list(accumulate(map(len, ids), initial=0))
+        self.ids.update((word, raw[4 * i : 4 * j]) for word, i, j in zip(words, ends, ends[1:], strict=False))
 
     def _lookup(self, pieces: list[str]) -> list[bytes]:
         """Ids of different pieces of plain text, each of which begins and ends with a word."""
         known = self.ids
         new = [piece for piece in pieces if piece not in known]
-        for at in range(0, len(new), 4000):
-            some = new[at : at + 4000]
-            found = [_WORD.findall(piece) for piece in some]
-            words = set().union(*found).difference(known)
-            spaces = [word for word in words if word.isspace()]
-            known.update((word, self.whole(word)) for word in spaces)
-            lines = list(words.difference(spaces))
-            if lines:
-                self._learn(lines)
-            for piece, own in zip(some, found, strict=True):
-                if len(own) != 1:
-                    known[piece] = b"".join([known[word] for word in own])
+        # A piece of letters alone, with or without a space before them, is one word.
+        words = {piece for piece in new if (piece[1:] if piece[:1] == " " else piece).isalpha()}
+        cut = [(piece, _WORD.findall(piece)) for piece in new if piece not in words]
+        words.update(*[own for _, own in cut])
+        words.difference_update(known)
+        spaces = [word for word in words if word.isspace()]
+        known.update((word, self.whole(word)) for word in spaces)
+        self._learn(list(words.difference(spaces)))
+        known.update((piece, b"".join([known[word] for word in own])) for piece, own in cut)
         return [known[piece] for piece in pieces]
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -155,7 +162,7 @@ class WordCache:
 _caches: dict[tuple[str, bool], WordCache] = {}
 
 
-def bytes_encoder(path: str, special_as_text: bool = True) -> Callable[[list[str]], list[bytes]]:
+def bytes_encoder(path: str, special_as_text: bool = False) -> Callable[[list[str]], list[bytes]]:
     """Encoder for the byte-level tokenizer file at ``path``, which every executor has."""
 
     def encode(texts: list[str]) -> list[bytes]:
@@ -211,6 +218,7 @@ def encode_documents(
         return pa.RecordBatch.from_pydict(made | {n: others[n] for n in others.schema.names if n not in ("key", "text")})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             first, texts, chars = 0, [], 0
             for i, t in enumerate(batch["text"]):
@@ -405,7 +413,7 @@ def tokenize_to_files(
     text: str = "text",
     end_id: int = 0,
     file_ids: int = FILE_IDS,
-    special_as_text: bool = True,
+    special_as_text: bool = False,
     place: Sequence[Column] = (),
 ) -> DataFrame:
     """Encode, write and read back: key, start, n_tokens, ids_crc32 of every document.
@@ -418,7 +426,8 @@ def tokenize_to_files(
     folder = shared_folder(spark, "tokens")
     encode = bytes_encoder(tokenizer_path, special_as_text)
     encoded = encode_documents(docs, encode, key=key, text=text, end_id=end_id, place=place)
-    encoded = written(encoded, f"{folder}/ids")
+    with small_batches(spark):
+        encoded = written(encoded, f"{folder}/ids")
     files = write_token_files(encoded, folder, file_ids=file_ids)
     drop_folder(spark, f"{folder}/ids")
     return read_token_files(files)

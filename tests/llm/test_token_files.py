@@ -15,8 +15,8 @@ SCHEMA = "doc_id long, text string, key string, ids string, n_tokens string"
 
 @pytest.fixture(scope="module")
 def reference():
+    """The library as it comes: special tokens in texts keep their own ids."""
     made = tokenizers.Tokenizer.from_file(tokenizer_path())
-    made.encode_special_tokens = True
     return lambda text: [*made.encode(text or "", add_special_tokens=False).ids, 0]
 
 
@@ -52,6 +52,17 @@ def test_words_give_the_ids_of_whole_texts(reference):
         assert np.frombuffer(ids, "<u4").tolist() == reference(text)[:-1], repr(text)
 
 
+def test_special_tokens_may_be_read_as_text():
+    made = tokenizers.Tokenizer.from_file(tokenizer_path())
+    made.encode_special_tokens = True
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "plain"]
+    for special_as_text, library in ((True, made), (False, tokenizers.Tokenizer.from_file(tokenizer_path()))):
+        found = token_files.WordCache(tokenizer_path(), special_as_text).encode(texts)
+        plain = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == plain
+    assert np.frombuffer(found[0], "<u4").tolist() == [505, 220, 50256, 734]
+
+
 def test_whole_table(spark, small_dir, documents, reference):
     rows = op1_token_files(spark, small_dir).collect()
     got = sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in rows)
