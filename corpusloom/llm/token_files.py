@@ -52,8 +52,10 @@ HEADER = struct.Struct("<8sQQQ")
 BLOCK_IDS = 1 << 20
 #: Ids in a file, about.
 FILE_IDS = 1 << 25
-#: Words whose ids a Python worker remembers before it starts anew.
-REMEMBERED_WORDS = 300_000
+#: Characters of text that are encoded at a time, about, and words whose ids a Python worker
+#: remembers before it starts anew; more of either costs memory and saves time.
+BATCH_CHARS = 8_000_000
+REMEMBERED_WORDS = 600_000
 
 #: The tokenizer's rule of words, written for letters up to U+024F, where the regular
 #: expression engines agree on classes. Other texts go to the tokenizer whole.
@@ -76,7 +78,7 @@ class WordCache:
     tokenizer's merging.
     """
 
-    def __init__(self, path: str, special_as_text: bool = False):
+    def __init__(self, path: str, special_as_text: bool = False, remembered_words: int = REMEMBERED_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -84,6 +86,7 @@ class WordCache:
         #: Of tokens that are cut out before words are: texts that hold one go to the tokenizer whole.
         self.special = [] if special_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ids: dict[str, bytes] = {}
+        self.remembered_words = remembered_words
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -114,7 +117,7 @@ class WordCache:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian u32."""
-        if len(self.ids) > REMEMBERED_WORDS:
+        if len(self.ids) > self.remembered_words:
             self.ids.clear()
         out: list[bytes | None] = [
             None if _PLAIN.fullmatch(text) and not any(s in text for s in self.special) else self.whole(text)
@@ -159,16 +162,18 @@ class WordCache:
         return [head + body[4 * a : 4 * b] for head, a, b in zip(heads, ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
-_caches: dict[tuple[str, bool], WordCache] = {}
+_caches: dict[tuple[str, bool, int], WordCache] = {}
 
 
-def bytes_encoder(path: str, special_as_text: bool = False) -> Callable[[list[str]], list[bytes]]:
+def bytes_encoder(
+    path: str, special_as_text: bool = False, remembered_words: int = REMEMBERED_WORDS
+) -> Callable[[list[str]], list[bytes]]:
     """Encoder for the byte-level tokenizer file at ``path``, which every executor has."""
 
     def encode(texts: list[str]) -> list[bytes]:
-        key = path, special_as_text
+        key = path, special_as_text, remembered_words
         if key not in _caches:
-            _caches[key] = WordCache(path, special_as_text)
+            _caches[key] = WordCache(*key)
         return _caches[key].encode(texts)
 
     return encode
@@ -193,7 +198,7 @@ def encode_documents(
     text: str = "text",
     end_id: int = 0,
     place: Sequence[Column] = (),
-    batch_chars: int = 2_000_000,
+    batch_chars: int = BATCH_CHARS,
 ) -> DataFrame:
     """One row per document: key, n_tokens, crc and packed ids with the end id.
 
@@ -415,6 +420,8 @@ def tokenize_to_files(
     file_ids: int = FILE_IDS,
     special_as_text: bool = False,
     place: Sequence[Column] = (),
+    batch_chars: int = BATCH_CHARS,
+    remembered_words: int = REMEMBERED_WORDS,
 ) -> DataFrame:
     """Encode, write and read back: key, start, n_tokens, ids_crc32 of every document.
 
@@ -424,8 +431,8 @@ def tokenize_to_files(
     """
     spark: SparkSession = docs.sparkSession
     folder = shared_folder(spark, "tokens")
-    encode = bytes_encoder(tokenizer_path, special_as_text)
-    encoded = encode_documents(docs, encode, key=key, text=text, end_id=end_id, place=place)
+    encode = bytes_encoder(tokenizer_path, special_as_text, remembered_words)
+    encoded = encode_documents(docs, encode, key=key, text=text, end_id=end_id, place=place, batch_chars=batch_chars)
     with small_batches(spark):
         encoded = written(encoded, f"{folder}/ids")
     files = write_token_files(encoded, folder, file_ids=file_ids)
