@@ -90,7 +90,10 @@ def _file_order(docs: DataFrame) -> list[Column]:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = token_files.tokenize_to_files(docs, llm.tokenizer_path(), place=_file_order(docs))
+    # Executors still hold what the stages before have loaded, so this one takes little.
+    found = token_files.tokenize_to_files(
+        docs, llm.tokenizer_path(), place=_file_order(docs), batch_chars=1_000_000, remembered_words=100_000
+    )
     return found.select(F.col("key").alias(KEY), "start", "n_tokens", "ids_crc32")
 
 
