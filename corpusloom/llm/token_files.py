@@ -369,7 +369,7 @@ def read_token_files(files: DataFrame) -> DataFrame:
     """
     running = Window.orderBy("index").rowsBetween(Window.unboundedPreceding, -1)
     placed = files.withColumn("start", F.coalesce(F.sum("n_tokens").over(running), F.lit(0)))
-    spread = placed.select("file", "start").repartition("file")
+    spread = placed.select("file", "start").repartition(max(1, files.count()))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
