@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.alignment import common_subsequence
-from corpusloom.llm.files import shared_folder, written
+from corpusloom.llm.files import releasing, shared_folder, written
 from corpusloom.llm.shingles import word_hashes
 
 
@@ -110,7 +110,7 @@ def _summed(partial: DataFrame, kind: type) -> dict[int, np.ndarray]:
             ["block", "values"],
         )
 
-    rows = partial.repartition("block").mapInArrow(add, "block int, values binary").collect()
+    rows = partial.repartition("block").mapInArrow(releasing(add), "block int, values binary").collect()
     return {row["block"]: np.frombuffer(row["values"], kind) for row in rows}
 
 
@@ -127,7 +127,7 @@ def _frequencies(terms: DataFrame, p: Latent) -> tuple[np.ndarray, int]:
                 total[-1] += len(starts)
         yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([total.tobytes()])], ["block", "values"])
 
-    found = _summed(terms.mapInArrow(count, "block int, values binary"), np.int64)
+    found = _summed(terms.mapInArrow(releasing(count), "block int, values binary"), np.int64)
     total = found.get(0, np.zeros(p.terms + 1, np.int64))
     return total[:-1], int(total[-1])
 
@@ -150,7 +150,7 @@ def _store_terms(narrow: DataFrame, p: Latent) -> DataFrame:
             blobs = [terms[a:b].tobytes() for a, b in zip(first, first[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([pa.array(blobs, pa.binary())], ["terms"])
 
-    return narrow.select("text").mapInArrow(run, "terms binary")
+    return narrow.select("text").mapInArrow(releasing(run), "terms binary")
 
 
 def _random(p: Latent) -> np.ndarray:
@@ -187,7 +187,7 @@ def _basis(terms: DataFrame, idf: np.ndarray, p: Latent) -> np.ndarray:
             ["block", "values"],
         )
 
-    sums = _summed(terms.mapInArrow(add, "block int, values binary"), np.float32)
+    sums = _summed(terms.mapInArrow(releasing(add), "block int, values binary"), np.float32)
     if not sums:
         return np.zeros((p.terms, p.rank), np.float32)
     core = sums.pop(-1).reshape(p.rank, p.rank).astype(np.float64)
@@ -394,4 +394,4 @@ def contaminated(
                     [part["key"].take(pa.array(rows[0], pa.int64())), *[pa.array(c) for c in rows[1:]]], ["key", *names]
                 )
 
-    return narrow.mapInArrow(run, f"key {kind}, {OUTPUT}")
+    return narrow.mapInArrow(releasing(run), f"key {kind}, {OUTPUT}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import re
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -70,3 +70,15 @@ def release_memory() -> None:
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, after which the Python worker keeps no memory: workers wait for later stages."""
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return over

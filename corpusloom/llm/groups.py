@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from corpusloom.llm.files import releasing
+
 
 def _starts(table: pa.Table, keys: Sequence[str]) -> np.ndarray:
     """Where a row differs from the one before it in some key."""
@@ -56,4 +58,4 @@ def map_groups(
             table = pa.Table.from_batches(held)
             yield run(table, _starts(table, keys))
 
-    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(over, schema)
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(releasing(over), schema)

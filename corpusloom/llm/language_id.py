@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.files import shared_folder, written
+from corpusloom.llm.files import releasing, shared_folder, written
 
 BUCKETS = 1 << 16
 MAX_LANGUAGES = 200
@@ -116,7 +116,7 @@ def fit(labelled: DataFrame, *, key: str, text: str, label: str, per_language: i
         )
 
     # The sample is bounded, and so is what eight tasks return of it.
-    parts = sample.select("label", "text").repartition(8).mapInArrow(count, "language int, counts binary").collect()
+    parts = sample.select("label", "text").repartition(8).mapInArrow(releasing(count), "language int, counts binary").collect()
     totals = np.zeros((len(names), BUCKETS))
     for part in parts:
         totals[part["language"]] += np.frombuffer(part["counts"], np.float64)
@@ -168,7 +168,7 @@ def scored(rows: DataFrame, model: TrigramModel, *, html: bool = False) -> DataF
 
     kind = rows.schema["key"].dataType.simpleString()
     return rows.select("text", *others).mapInArrow(
-        run,
+        releasing(run),
         f"key {kind}, declared string, suffix string, host string, domain string, "
         "evidence array<double>, weights array<double>, letters bigint, fit double",
     )
@@ -242,7 +242,7 @@ def fuse(rows: DataFrame, languages: Sequence[str], *, least_fit: float = LEAST_
     kind = rows.schema["key"].dataType.simpleString()
     columns = ["key", "evidence", "weights", "letters", "fit", "declared_sum", "suffix_sum", "host_sum", "domain_sum"]
     return joined.select(*columns).mapInArrow(
-        run, f"key {kind}, language string, probability double, fit double, letters bigint, accepted boolean"
+        releasing(run), f"key {kind}, language string, probability double, fit double, letters bigint, accepted boolean"
     )
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.alignment import ordered_similarity
 from corpusloom.llm.components import components
-from corpusloom.llm.files import shared_folder, written
+from corpusloom.llm.files import releasing, shared_folder, written
 from corpusloom.llm.groups import map_groups
 from corpusloom.llm.shingles import mix, numbered, shingles_of_words, word_hashes
 
@@ -160,7 +160,7 @@ def _sketches(docs: DataFrame, p: OrderMinHash) -> DataFrame:
 
     kind = docs.schema["key"].dataType.simpleString()
     return docs.select("key", "node", "text").mapInArrow(
-        run, f"key {kind}, node binary, signature binary, size int, keys array<bigint>"
+        releasing(run), f"key {kind}, node binary, signature binary, size int, keys array<bigint>"
     )
 
 
@@ -274,7 +274,7 @@ def _aligned(pairs: DataFrame, texts: DataFrame, p: OrderMinHash) -> DataFrame:
         return texts.select(F.col("node").alias(name), F.col("text").alias(f"{name}_text"))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_text", "b_text")
-    return both.mapInArrow(run, "a binary, b binary, similarity double")
+    return both.mapInArrow(releasing(run), "a binary, b binary, similarity double")
 
 
 def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
