@@ -7,6 +7,7 @@ import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyarrow import fs
@@ -15,10 +16,29 @@ from pyspark.sql import DataFrame, SparkSession
 from corpusloom.session import ensure_checkpoint_dir
 
 
+_recorded: ContextVar[list[str] | None] = ContextVar("recorded", default=None)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A folder name of this run below ``spark.checkpoint.dir``; it is made by its first writer."""
     base = re.sub(r"^file:/+", "file:///", ensure_checkpoint_dir(spark))
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    folder = f"{base}/{name}-{uuid.uuid4().hex}"
+    if (made := _recorded.get()) is not None:
+        made.append(folder)
+    return folder
+
+
+@contextmanager
+def deleted_folders(spark: SparkSession) -> Iterator[None]:
+    """What is written to shared folders inside is deleted at the end; results must be written elsewhere by then."""
+    made: list[str] = []
+    token = _recorded.set(made)
+    try:
+        yield
+    finally:
+        _recorded.reset(token)
+        for folder in made:
+            drop_folder(spark, folder)
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
