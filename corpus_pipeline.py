@@ -15,13 +15,15 @@ NULL or repeated id are told apart.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import decontaminate, language_id, mixing, near_dup, token_files
 from corpusloom.llm import queries as llm
-from corpusloom.llm.files import shared_folder, written
+from corpusloom.llm.files import deleted_folders, shared_folder, written
 
 KEY = "doc_id"
 
@@ -36,10 +38,15 @@ def _identified(docs: DataFrame) -> DataFrame:
     return docs.withColumn(ROW, F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("index")))
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The identified documents whose row is not in ``dropped`` (column key)."""
-    folder = shared_folder(docs.sparkSession, "dropped")
-    gone = written(dropped.select(F.col("key").alias(ROW)).distinct(), folder)
+def _without(docs: DataFrame, dropped: Callable[[], DataFrame]) -> DataFrame:
+    """The identified documents whose row is not in ``dropped()`` (column key).
+
+    The rows to drop are written, then what the operator has left in shared folders goes.
+    """
+    spark = docs.sparkSession
+    folder = shared_folder(spark, "dropped")
+    with deleted_folders(spark):
+        gone = written(dropped().select(F.col("key").alias(ROW)).distinct(), folder)
     return docs.join(gone, ROW, "left_anti").drop(ROW)
 
 
@@ -49,21 +56,28 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         return docs
     model = language_id.fit(docs, key=KEY, text="text", label="lang")
     docs = _identified(docs)
-    found = language_id.identify(language_id.document_rows(docs, key=ROW), model)
-    return _without(docs, found.where("NOT accepted"))
+
+    def rejected() -> DataFrame:
+        return language_id.identify(language_id.document_rows(docs, key=ROW), model).where("NOT accepted")
+
+    return _without(docs, rejected)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = _identified(docs)
     order = F.struct(F.col(KEY).isNull().alias("none"), F.col(KEY).alias("id"), F.col(ROW).alias("row"))
-    found = near_dup.near_duplicates(docs.withColumn("_order", order), key="_order")
-    return _without(docs, found.where("NOT kept").select(F.col("key.row").alias("key")))
+
+    def copies() -> DataFrame:
+        found = near_dup.near_duplicates(docs.withColumn("_order", order), key="_order")
+        return found.where("NOT kept").select(F.col("key.row").alias("key"))
+
+    return _without(docs, copies)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     docs = _identified(docs)
-    return _without(docs, decontaminate.contaminated(docs, benchmark, key=ROW))
+    return _without(docs, lambda: decontaminate.contaminated(docs, benchmark, key=ROW))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
