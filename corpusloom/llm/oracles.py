@@ -68,4 +68,26 @@ ORACLES: dict[str, str] = {
                sum(chars + CASE WHEN begins THEN role_chars + 24 ELSE 3 END)::BIGINT AS formatted_chars,
                count(*) FILTER (begins) AS n_blocks
         FROM marked GROUP BY conv_id""",
+    "op10_url_verdicts": r"""WITH cut AS (
+          SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        parsed AS (
+          SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'),
+                                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM cut),
+        rules(rule_host, rule_path, decision) AS (
+          VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'),
+                 ('org', '/fr/', 'allow')),
+        fitting AS (
+          SELECT page_id, rule_host || rule_path AS rule, decision FROM parsed JOIN rules
+            ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+          QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host) DESC, length(rule_path) DESC) = 1),
+        hosts AS (
+          SELECT DISTINCT host AS listed FROM parsed
+          WHERE regexp_matches(host, '(^|[.-])(adult|ads|bets|casino|pills|spam)([.-]|$)')),
+        blocked AS (
+          SELECT page_id, listed FROM parsed JOIN hosts ON host = listed OR ends_with(host, '.' || listed)
+          QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(listed) DESC) = 1)
+        SELECT p.page_id, p.host, p.path, f.rule,
+               coalesce(f.decision, CASE WHEN b.listed IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, b.listed
+        FROM parsed p LEFT JOIN fitting f USING (page_id) LEFT JOIN blocked b USING (page_id)""",
 }

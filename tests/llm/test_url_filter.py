@@ -67,3 +67,12 @@ def test_colliding_digests_are_told_apart(spark, monkeypatch, tmp_path):
     for m in mapped:
         assert (m.keys[1:] >= m.keys[:-1]).all()
         assert m.find(m.keys.copy(), [b"other"] * len(m.keys)) == [-1] * len(m.keys)
+
+
+def test_query_equals_sql(spark, small_dir):
+    from oracle import differences
+
+    from corpusloom.llm.oracles import ORACLES
+    from corpusloom.llm.queries import op10_url_verdicts
+
+    assert differences(op10_url_verdicts(spark, small_dir), ORACLES["op10_url_verdicts"], small_dir) == []
