@@ -3,14 +3,18 @@
 1. Terms are hashed words. Passages of 64 words give document frequencies over the corpus.
 2. A randomised singular value decomposition of the TF-IDF matrix A of all passages: with
    a random matrix R every task adds up A'(A R) and (A R)'(A R) of its passages, the sums
-   give the leading right singular vectors. One pass; sums have terms x rank numbers.
-3. Regions of every document, twice as long as an item and an eighth of it apart, are
-   candidates for an item if they hold so many of its rarest words that its share of words
-   in order can be reached. Where few may be missing, few of any choice of words are: the
-   bound counts words and leaves out no region that step 4 would take.
-4. Candidates are checked: the longest common subsequence of item and region must hold
-   most of the item's words, or a good part of them and the item's answer. What passes is
-   given with the best cosine of item and windows of the region; the cosine decides nothing.
+   give the leading right singular vectors and values. One pass; sums have terms x rank
+   numbers. Latent coordinates are divided by the singular values, so that what all
+   texts of a language share does not outweigh the rest.
+3. Search: windows about as long as an item, a quarter of it apart, of every document are
+   compared with every item by the cosine of their latent vectors. Windows of at least
+   ``near`` are candidates; no other region is looked at. ``near`` is low, since an item with
+   45 % of its words replaced must still be found; tests measure the share that is.
+4. Candidates are checked. First by an exact bound: a region of twice the item's length
+   around the window must hold so many of the item's rarest words that its share of words
+   in order can be reached (the bound leaves out no region that the check would take). Then
+   the longest common subsequence of item and region must hold most of the item's words, or
+   a good part of them and the item's answer.
 
 The benchmark and what is made from it are constants of the plan, with a checked size.
 Documents are not shuffled; only sums are.
@@ -18,9 +22,12 @@ Documents are not shuffled; only sums are.
 An item's answer is the column of that name, if there is one, else its last sentence.
 Items longer than 64 words are searched by pieces of 64, half overlapping.
 
-Defined cases: NULL texts count as empty and match nothing; items of fewer than 8 words
-are too short to tell from chance and are ignored, as are NULL ones; repeated items and
-documents each give their rows; a NULL key is kept as a key; without items or documents
+Items of fewer than 8 words are too short to be told from chance when reworded: they are
+found where all their words stand together in order, by hashes of runs of words, with 1
+as their cosine and share.
+
+Defined cases: NULL texts count as empty and match nothing; NULL items and items without
+words are ignored; repeated items and documents each give their rows; a NULL key is kept as a key; without items or documents
 the result is empty; columns besides the named ones are not read.
 """
 
@@ -38,7 +45,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.alignment import common_subsequence
 from corpusloom.llm.files import releasing, shared_folder, written
-from corpusloom.llm.shingles import word_hashes
+from corpusloom.llm.shingles import mix, word_hashes
 
 
 @dataclass(frozen=True)
@@ -48,7 +55,10 @@ class Latent:
     terms: int = 1 << 15
     rank: int = 32
     passage: int = 64
+    #: Shorter items are searched word for word.
     least_words: int = 8
+    #: Cosine from which a window is a candidate.
+    near: float = 0.2
     #: Of an item's rarest words so many must occur in a region; more words are looked up for that.
     rare_words: int = 4
     #: Share of an item's words in order that decides alone, or together with the answer.
@@ -61,6 +71,10 @@ class Latent:
 
 
 _BLOCK = 512
+#: Words of the windows the search compares with the items; those of the least width that holds an item.
+_WIDTHS = (8, 12, 16, 24, 32, 48, 64)
+#: Words and items of one matrix of cosines.
+_SPAN, _GROUP = 1 << 15, 256
 _BITS = 22
 OUTPUT = "item long, cosine double, common double, answer boolean, first_word long, words long"
 
@@ -125,11 +139,17 @@ def _frequencies(terms: DataFrame, p: Latent) -> tuple[np.ndarray, int]:
                 _, term, _ = _first_uses(found, starts, p)
                 total[:-1] += np.bincount(term, minlength=p.terms)
                 total[-1] += len(starts)
-        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([total.tobytes()])], ["block", "values"])
+        blocks = [*total[:-1].reshape(-1, _BLOCK), total[-1:]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([*range(len(blocks) - 1), -1], pa.int32()), pa.array([b.tobytes() for b in blocks], pa.binary())],
+            ["block", "values"],
+        )
 
     found = _summed(terms.mapInArrow(releasing(count), "block int, values binary"), np.int64)
-    total = found.get(0, np.zeros(p.terms + 1, np.int64))
-    return total[:-1], int(total[-1])
+    if not found:
+        return np.zeros(p.terms, np.int64), 0
+    passages = int(found.pop(-1)[0])
+    return np.concatenate([found[k] for k in sorted(found)]), passages
 
 
 def _stored(batch: pa.RecordBatch, least: int = 1 << 18):
@@ -158,11 +178,11 @@ def _random(p: Latent) -> np.ndarray:
 
 
 def _basis(terms: DataFrame, idf: np.ndarray, p: Latent) -> np.ndarray:
-    """Leading right singular vectors of the TF-IDF matrix of all passages (terms x rank)."""
+    """Leading right singular vectors of the TF-IDF matrix of all passages, each divided by its value (terms x rank)."""
     shared = terms.sparkSession.sparkContext.broadcast(idf)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        random, weight = _random(p), shared.value
+        random, weight = np.ascontiguousarray(_random(p).T), shared.value
         image = np.zeros((p.rank, p.terms), np.float64)
         core = np.zeros((p.rank, p.rank), np.float64)
         for batch in batches:
@@ -174,10 +194,10 @@ def _basis(terms: DataFrame, idf: np.ndarray, p: Latent) -> np.ndarray:
                 value = (times * weight[term]).astype(np.float32)
                 norm = np.sqrt(np.bincount(passage, value.astype(np.float64) ** 2, len(starts)))
                 value /= np.maximum(norm, 1e-9)[passage].astype(np.float32)
-                y = np.add.reduceat(random[term] * value[:, None], np.searchsorted(passage, np.arange(len(starts))))
-                core += y.T.astype(np.float64) @ y
+                y = np.array([np.bincount(passage, value * row[term], len(starts)) for row in random])
+                core += y @ y.T
                 for k in range(p.rank):
-                    image[k] += np.bincount(term, value * y[passage, k], p.terms)
+                    image[k] += np.bincount(term, value * y[k][passage], p.terms)
         blocks = np.ascontiguousarray(image.T.astype(np.float32)).reshape(-1, _BLOCK * p.rank)
         yield pa.RecordBatch.from_arrays(
             [
@@ -197,7 +217,8 @@ def _basis(terms: DataFrame, idf: np.ndarray, p: Latent) -> np.ndarray:
     core = (core + core.T) / 2 + np.eye(p.rank) * max(np.trace(core) / p.rank * 1e-6, 1e-12)
     half = image @ np.linalg.inv(np.linalg.cholesky(core)).T
     values, vectors = np.linalg.eigh(half.T @ half)
-    return (half @ vectors[:, ::-1] / np.sqrt(np.maximum(values[::-1], 1e-12))).astype(np.float32)
+    # Once for the length of the vector, once for the value; values near 0 are those of a small corpus.
+    return (half @ vectors / np.maximum(values, max(values[-1] * 1e-6, 1e-12)))[:, ::-1].astype(np.float32)
 
 
 @dataclass(frozen=True)
@@ -224,19 +245,87 @@ def _pieces(benchmark: DataFrame, p: Latent, item: str, text: str, answer: str |
             continue
         whole = word_hashes([body], alnum=True)[0]
         reply = word_hashes([given if given is not None else _last_sentence(body)], alnum=True)[0]
-        if len(whole) < p.least_words:
+        if not len(whole):
             continue
         starts = [0] if len(whole) <= p.passage else [*range(0, len(whole) - p.passage, p.passage // 2), len(whole) - p.passage]
         found += [Piece(name, whole[s : s + p.passage], reply) for s in starts]
     return found
 
 
+def _prefix_sums(rows: np.ndarray, block: int = 64) -> np.ndarray:
+    """Sums of all rows before each; blocks side by side, as numpy adds few long rows faster than many short ones."""
+    blocks = np.zeros((len(rows) // block + 1, block, rows.shape[1]), rows.dtype)
+    blocks.reshape(-1, rows.shape[1])[1 : len(rows) + 1] = rows
+    for i in range(1, block):
+        blocks[:, i] += blocks[:, i - 1]
+    blocks[1:] += np.cumsum(blocks[:-1, -1], axis=0)[:, None]
+    return blocks.reshape(-1, rows.shape[1])[: len(rows) + 1]
+
+
+def _windows(first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, end and middle of windows a quarter of ``width`` apart that cover each text."""
+    step = width // 4
+    lengths = np.diff(first)
+    counts = np.where(lengths > 0, -(-np.maximum(lengths - width, 0) // step) + 1, 0)
+    before = np.cumsum(counts) - counts
+    begin = np.repeat(first[:-1] - step * before, counts) + step * np.arange(counts.sum())
+    end = np.minimum(begin + width, np.repeat(first[1:], counts))
+    return begin, end, (begin + end) // 2
+
+
+class _Runs:
+    """Finds short items word for word, by hashes of runs of as many words."""
+
+    def __init__(self, pieces: list[Piece]):
+        self.lengths = {}
+        for n in {len(piece.words) for piece in pieces}:
+            same = [piece for piece in pieces if len(piece.words) == n]
+            keys = np.array([self._keys(piece.words, n)[0] for piece in same])
+            order = np.argsort(keys, kind="stable")
+            self.lengths[n] = keys[order], [same[i] for i in order]
+
+    @staticmethod
+    def _keys(hashes: np.ndarray, n: int) -> np.ndarray:
+        keys = hashes[: len(hashes) - n + 1].copy()
+        for i in range(1, n):
+            keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + hashes[i : len(hashes) - n + 1 + i])
+        return keys
+
+    def search(self, hashes: np.ndarray, first: np.ndarray, p: Latent) -> list[tuple[int, int, float, float, bool, int, int]]:
+        hits = []
+        for n, (keys, pieces) in self.lengths.items():
+            if len(hashes) < n:
+                continue
+            own = self._keys(hashes, n)
+            low, high = np.searchsorted(keys, own), np.searchsorted(keys, own, side="right")
+            seen = set()
+            for at in np.flatnonzero(low < high):
+                text = int(np.searchsorted(first, at, side="right") - 1)
+                for k in range(low[at], high[at]):
+                    piece = pieces[k]
+                    if (text, k) in seen or at + n > first[text + 1] or not np.array_equal(hashes[at : at + n], piece.words):
+                        continue
+                    seen.add((text, k))
+                    reach = len(piece.answer)
+                    around = hashes[max(int(first[text]), at - reach) : min(int(first[text + 1]), at + n + reach)]
+                    answered = bool(reach) and common_subsequence(piece.answer, around) >= p.answer_common * reach
+                    hits.append((text, piece.item, 1.0, 1.0, answered, int(at - first[text]), n))
+        return hits
+
+
 class Searcher:
     """Finds the pieces in texts. Made on the driver, used in tasks."""
 
     def __init__(self, pieces: list[Piece], weights: np.ndarray, basis: np.ndarray, p: Latent):
-        self.p, self.pieces = p, pieces
+        self.p = p
         self.projected = (basis * weights[:, None]).astype(np.float32)
+        self.runs = _Runs([piece for piece in pieces if len(piece.words) < p.least_words])
+        self.pieces = pieces = [piece for piece in pieces if len(piece.words) >= p.least_words]
+        if pieces:
+            self._prepare(pieces, weights)
+
+    def _prepare(self, pieces: list[Piece], weights: np.ndarray) -> None:
+        p = self.p
         self.size = np.array([len(piece.words) for piece in pieces])
         self.need = np.ceil(np.round(p.common_with_answer * self.size, 9)).astype(np.int64)
         self.region = self.size + 2 * (self.size // 2 + 1)
@@ -244,7 +333,7 @@ class Searcher:
         self.rare = np.minimum(p.rare_words, self.need)
         self.full = np.array([(1 << len(piece.words)) - 1 for piece in pieces], np.uint64)
         self.words = np.unique(np.concatenate([piece.words for piece in pieces]))
-        vectors = np.zeros((len(pieces), basis.shape[1]), np.float32)
+        vectors = np.zeros((len(pieces), self.projected.shape[1]), np.float32)
         keys, masks, rare = [], [], []
         for i, piece in enumerate(pieces):
             terms = _terms(piece.words, p)
@@ -258,6 +347,16 @@ class Searcher:
             looked = np.argsort(-weights[terms], kind="stable")[: len(terms) - self.need[i] + self.rare[i]]
             rare.append(np.searchsorted(self.words, np.unique(piece.words[looked])) + i * len(self.words))
         self.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1), 1e-9)[:, None]
+        width = np.searchsorted(_WIDTHS, self.size)
+        self.groups = [
+            (_WIDTHS[w], members[at : at + _GROUP])
+            for w in np.unique(width)
+            for members in [np.flatnonzero(width == w)]
+            for at in range(0, len(members), _GROUP)
+        ]
+        self.group, self.column = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        for number, (_, members) in enumerate(self.groups):
+            self.group[members], self.column[members] = number, np.arange(len(members))
         self.keys, self.masks = np.concatenate(keys), np.concatenate(masks)
         word, self.rare_piece = np.concatenate(rare) % len(self.words), np.concatenate(rare) // len(self.words)
         order = np.argsort(word, kind="stable")
@@ -268,23 +367,59 @@ class Searcher:
 
     def search(self, hashes: np.ndarray, first: np.ndarray) -> list[tuple[int, int, float, float, bool, int, int]]:
         """(text, piece's item, cosine, common, answer, first word, words) of every match."""
+        hits = self.runs.search(hashes, first, self.p)
+        if not self.pieces or not len(hashes):
+            return hits
         known = np.full(len(hashes), -1)
         places = np.flatnonzero(self.marked[(hashes >> np.uint64(64 - _BITS)).astype(np.int64)])
         at = np.minimum(np.searchsorted(self.words, hashes[places]), len(self.words) - 1)
         same = self.words[at] == hashes[places]
         known[places[same]] = at[same]
-        piece, start, text = self._candidates(known, first)
+        piece, start, text = self._regions(known, first)
         stop = np.minimum(start + self.region[piece], first[text + 1])
+        near = self._retrieved(_terms(hashes, self.p), first, piece, start, stop)
+        piece, start, stop, text = piece[near], start[near], stop[near], text[near]
         passed: dict[tuple[int, int], list[tuple[int, int, int]]] = defaultdict(list)
         for low in range(0, len(piece), 4096):
             part = slice(low, low + 4096)
             common = self._common(known, piece[part], start[part], stop[part])
             for k in np.flatnonzero(common >= self.need[piece[part]]):
                 passed[int(text[low + k]), int(piece[low + k])].append((-int(common[k]), int(start[low + k]), int(stop[low + k])))
-        return [hit for (text, i), regions in passed.items() if (hit := self._verify(hashes, first, text, i, regions))]
-
-    def _candidates(self, known: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Piece, first word and text of the regions with enough of the piece's rarest words."""
+        return hits + [hit for (text, i), regions in passed.items() if (hit := self._verify(hashes, first, text, i, regions))]
+
+    def _retrieved(self, terms: np.ndarray, first: np.ndarray, piece: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Compares all windows with all pieces; which of the regions have the middle of a window near their piece."""
+        found = np.zeros(len(piece), bool)
+        order = np.argsort(start, kind="stable")
+        windows = {width: _windows(first, width) for width, _ in self.groups}
+        reach = int(self.region.max())
+        for low in range(0, len(terms), _SPAN):
+            here = order[slice(*np.searchsorted(start, [low, low + _SPAN], sorter=order))]
+            group = self.group[piece[here]]
+            base = max(0, low - _WIDTHS[-1])
+            part = self.projected[terms[base : low + _SPAN + reach + _WIDTHS[-1]]]
+            sums = _prefix_sums(part)
+            drawn = 0
+            for number, (width, members) in enumerate(self.groups):
+                if width != drawn:
+                    begin, end, middle = windows[width]
+                    inside = slice(*np.searchsorted(middle, [low, low + _SPAN + reach]))
+                    middle = middle[inside]
+                    vectors = sums[end[inside] - base] - sums[begin[inside] - base]
+                    limit = (self.p.near * np.sqrt(np.einsum("ij,ij->i", vectors, vectors)))[:, None]
+                    drawn = width
+                near = vectors @ self.vectors[members].T >= np.maximum(limit, 1e-9)
+                own = here[group == number]
+                at, last = np.searchsorted(middle, start[own]), np.searchsorted(middle, stop[own])
+                while len(own):
+                    more = at < last
+                    own, at, last = own[more], at[more], last[more]
+                    found[own] |= near[at, self.column[piece[own]]]
+                    at = at + 1
+        return found
+
+    def _regions(self, known: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Piece, first word and text of the regions with enough of the piece's rarest words: no others can pass the check."""
         place = np.flatnonzero(known >= 0)
         word = known[place]
         times = self.rare_first[word + 1] - self.rare_first[word]
