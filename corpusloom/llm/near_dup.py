@@ -3,7 +3,10 @@
 A text is the sequence of its 5-word shingles, repeats numbered. For each of several
 tables a hash picks the smallest shingles, and these are kept *in the order of the text*:
 two texts share a key only if the same shingles stand in the same order, so keys follow
-edit similarity rather than set overlap. Texts that share a key in some table are
+edit similarity rather than set overlap. So few shingles are left of a short text that
+samples of two alike ones may never be equal; texts of 4 to 14 shingles therefore also have
+a key of all shingles and one of all but each, which every two such texts share whose
+sequences are equal but for one shingle of either. Texts that share a key in some table are
 compared by the overlap of samples of their shingles, likely pairs by a banded alignment of
 their shingle sequences: common subsequence over union, at least 0.8. Linked texts form classes.
 
@@ -39,13 +42,15 @@ from corpusloom.llm.shingles import mix, numbered, shingles_of_words, word_hashe
 
 @dataclass(frozen=True)
 class OrderMinHash:
-    """Parameters. With 20 tables of 5 shingles a pair at 0.8 shares a key with probability
-    1 - (1 - 0.8^5)^20 = 0.9996."""
+    """Parameters. With 20 tables of 5 shingles a pair of long texts at 0.8 shares a key with
+    probability 1 - (1 - 0.8^5)^20 = 0.9996. Least likely are 8 against 10 shingles, 0.993."""
 
     words: int = 5
     similarity: float = 0.8
     tables: int = 20
     per_key: int = 5
+    #: Texts of so many shingles also have keys with one of them left out.
+    short: tuple[int, int] = (4, 14)
     #: Shingle hashes kept of a text, at most about. Up to this length the overlap of two
     #: texts is exact; of longer texts the share 1/2, 1/4, ... with the smallest hashes is kept.
     signature: int = 1024
@@ -69,6 +74,15 @@ def levels(sizes: np.ndarray, signature: int) -> np.ndarray:
     return np.maximum(0, np.ceil(np.log2(np.maximum(sizes, 1) / signature))).astype(np.int64)
 
 
+def left_out(shingles: np.ndarray) -> np.ndarray:
+    """Keys of the sequence without each of its elements, and of all of it."""
+    odd = np.uint64(0x9E3779B97F4A7C15)
+    place = np.arange(len(shingles), dtype=np.uint64)
+    before = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(shingles + (place + np.uint64(1)) * odd))])
+    after = np.concatenate([np.cumsum(mix(shingles + place * odd)[::-1])[::-1], np.zeros(1, np.uint64)])
+    return mix(np.concatenate([before[:-1] + after[1:], before[-1:]]))
+
+
 class Sketcher:
     def __init__(self, p: OrderMinHash):
         self.p = p
@@ -76,7 +90,7 @@ class Sketcher:
         self.factors, self.sample = odd[1:], odd[:1]
 
     def sketch(self, shingles: np.ndarray) -> tuple[bytes, np.ndarray]:
-        """Sampled hashes as u32, and a key per table."""
+        """Sampled hashes as u32, and a key per table, then those of the last table if the text is short."""
         p = self.p
         places = [[] for _ in range(p.tables)]
         for at in range(0, len(shingles), _CHUNK):
@@ -94,6 +108,8 @@ class Sketcher:
         keys = np.zeros(p.tables, np.uint64)
         for column in shingles[chosen].T:
             keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + column)
+        if p.short[0] <= len(shingles) <= p.short[1]:
+            keys = np.concatenate([keys, left_out(shingles)])
         sample = _hash(shingles, self.sample)[0]
         level = int(levels(np.array([len(shingles)]), p.signature)[0])
         return sample[sample < np.uint64(1 << 32 >> level)].astype("<u4").tobytes(), keys
@@ -305,6 +321,7 @@ def near_duplicates(
     sketched = sketches.where("signature IS NOT NULL")
     entries = sketched.select("node", "keys").dropDuplicates(["node"])
     entries = entries.select("node", F.posexplode("keys").alias("table", "bucket"))
+    entries = entries.withColumn("table", F.least("table", F.lit(p.tables)))
     entries = written(entries, f"{folder}/entries")
     sizes = entries.groupBy("table", "bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = written(entries.join(sizes, ["table", "bucket"]), f"{folder}/buckets")

@@ -89,6 +89,57 @@ def test_classes_with_a_large_group_of_chained_copies(spark):
     assert sorted((str(r["key"]), str(r["class_id"])) for r in found) == classes(rows)
 
 
+def test_short_texts_that_differ_by_a_word_at_an_end(spark):
+    rng = random.Random(8)
+    rows = []
+    for n in range(6, 31):
+        for turn in range(12):
+            words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+            other = {0: [*words, "end"], 1: ["begin", *words], 2: [*words[:-1], "other"], 3: words[1:]}[turn % 4]
+            rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(other))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((str(r["key"]), str(r["class_id"])) for r in near_dup.near_duplicates(df).collect())
+    exact = classes_of_neighbours(rows)
+    assert sum(key != least for key, least in exact) > 200
+    assert found == exact
+
+
+def classes_of_neighbours(rows):
+    """As ``classes`` where only the rows 2k and 2k + 1 can be alike."""
+    return sorted(pair for k in range(0, len(rows), 2) for pair in classes(rows[k : k + 2]))
+
+
+def test_keys_with_one_left_out():
+    rng = np.random.default_rng(5)
+    a = rng.integers(0, 1 << 62, 9).astype(np.uint64)
+    for i in range(9):
+        b = np.delete(a, i)
+        assert near_dup.left_out(b)[-1] in near_dup.left_out(a)
+        changed = a.copy()
+        changed[i] += np.uint64(1)
+        assert len(set(near_dup.left_out(changed)) & set(near_dup.left_out(a))) == 1
+    assert not set(near_dup.left_out(a)) & set(near_dup.left_out(a[::-1]))
+
+
+def test_recall_on_sampled_texts(spark):
+    """Texts of more shingles than a sample holds, near the similarity on both sides of it."""
+    rng = random.Random(9)
+    rows = []
+    for n in (1100, 1500, 2600, 5000):
+        for turn in range(24):
+            words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+            other = list(words)
+            for place in rng.sample(range(n), round(n * (0.012 + 0.001 * (turn % 14)))):
+                other[place] = f"x{place}"
+            rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(other))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["key"]: r["class_id"] for r in near_dup.near_duplicates(df).collect()}
+    linked = {key for key, least in classes_of_neighbours(rows) if key != least}
+    told = {str(key) for key, least in found.items() if key != least}
+    assert told <= linked and len(linked) > 40
+    assert len(told) >= 0.97 * len(linked)
+
+
 def test_order_matters(spark):
     words = [f"w{i}" for i in range(200)]
     rows = [(1, " ".join(words)), (2, " ".join(words[100:] + words[:100]))]
