@@ -91,14 +91,21 @@ class TrigramModel:
 
 
 def fit(labelled: DataFrame, *, key: str, text: str, label: str, per_language: int = 2000) -> TrigramModel:
-    """Fit on about ``per_language`` rows of each label; at most 200 labels."""
+    """Fit on about ``per_language`` rows of each label; at most 200 labels.
+
+    Rows are drawn by a hash of key and text, rows that share both count once. Without labelled
+    rows the only language is "und", all trigrams are alike in it and no text is accepted.
+    """
     rows = labelled.select(
-        F.xxhash64(F.col(key)).alias("hash"), F.col(label).cast("string").alias("label"),
+        F.xxhash64(F.col(key), F.col(text).cast("string")).alias("hash"), F.col(label).cast("string").alias("label"),
         F.col(text).cast("string").alias("text"),
     ).where("label IS NOT NULL")
     counts = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()
-    if not counts or len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"there must be 1 to {MAX_LANGUAGES} labels")
+    if not counts:
+        # Clearly below what the same trigrams would have at random.
+        return TrigramModel(("und",), np.full((BUCKETS, 1), LEAST_FIT - 1, np.float32))
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"there are more than {MAX_LANGUAGES} labels")
     names = tuple(sorted(row["label"] for row in counts))
     share = F.create_map(*[x for row in counts for x in (F.lit(row["label"]), F.lit(per_language / row["n"]))])
     sample = rows.where(F.pmod("hash", F.lit(1 << 32)) < F.element_at(share, F.col("label")) * (1 << 32))
@@ -116,6 +123,7 @@ def fit(labelled: DataFrame, *, key: str, text: str, label: str, per_language: i
         )
 
     # The sample is bounded, and so is what eight tasks return of it.
+    sample = sample.dropDuplicates(["hash", "label"])
     parts = sample.select("label", "text").repartition(8).mapInArrow(releasing(count), "language int, counts binary").collect()
     totals = np.zeros((len(names), BUCKETS))
     for part in parts:

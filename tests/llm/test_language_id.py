@@ -31,6 +31,24 @@ def test_nulls_repeats_and_empty_tables(spark, small_dir):
     assert language_id.identify(language_id.document_rows(df.limit(0)), model).collect() == []
 
 
+def test_without_labelled_documents(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
+    unlabelled = spark.createDataFrame([(1, "some words here", None, "s")], empty.schema)
+    for docs in (empty, unlabelled):
+        model = language_id.fit(docs, key="doc_id", text="text", label="lang")
+        found = language_id.identify(language_id.document_rows(unlabelled), model).collect()
+        assert [(r["key"], r["language"], r["accepted"]) for r in found] == [(1, "und", False)]
+        assert language_id.identify(language_id.document_rows(empty), model).collect() == []
+
+
+def test_rows_without_a_key_are_drawn_one_by_one(spark):
+    rows = [(None, f"{w} " * 30, "aa") for w in ("lorem", "ipsum")] * 50 + [(None, f"word{i} text", "aa") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    few = language_id.fit(docs, key="doc_id", text="text", label="lang", per_language=50)
+    every = language_id.fit(docs, key="doc_id", text="text", label="lang", per_language=500)
+    assert (few.log_likelihood != every.log_likelihood).any()
+
+
 def test_query_has_every_page(spark, small_dir):
     pages = spark.read.parquet(f"{small_dir}/pages.parquet").count()
     found = op8_page_languages(spark, small_dir)
