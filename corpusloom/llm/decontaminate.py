@@ -8,11 +8,12 @@
    texts of a language share does not outweigh the rest.
 3. Search: windows about as long as an item, a quarter of it apart, of every document are
    compared with every item by the cosine of their latent vectors. Windows of at least
-   ``near`` are candidates; no other region is looked at. ``near`` is low, since an item with
+   ``near`` are candidates; no region without one is aligned. ``near`` is low, since an item with
    45 % of its words replaced must still be found; tests measure the share that is.
 4. Candidates are checked. First by an exact bound: a region of twice the item's length
    around the window must hold so many of the item's rarest words that its share of words
-   in order can be reached (the bound leaves out no region that the check would take). Then
+   in order can be reached (the bound leaves out no region that the check would take; it is
+   worked out for the batch first, and the regions kept are those that hold a candidate). Then
    the longest common subsequence of item and region must hold most of the item's words, or
    a good part of them and the item's answer.
 
