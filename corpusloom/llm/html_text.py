@@ -8,7 +8,12 @@ preformatted text as it is, other white space as one space.
 
 Not visible: head, scripts, styles, templates, what browsers show only without scripts or
 plug-ins, closed details and dialogs, elements with ``hidden``, ``display:none`` or (until
-a descendant is visible again) ``visibility:hidden``.
+a descendant is visible again) ``visibility:hidden``, annotations of formulas, definitions
+and descriptions in drawings, and the options that a closed select does not show. Formulas,
+labels of drawings, text areas and shown options are visible.
+
+The columns of a table are as wide as their longest cell; only where the padding would be
+many times the text are wide columns narrowed (:func:`_table_lines`). ``rowspan`` is ignored.
 
 Defined cases: NULL gives NULL; an empty page, and one without visible text, gives the
 empty text; broken markup never fails, an unfinished tag is text; a page of any length or
@@ -31,9 +36,13 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset(
-    "head title script style template noscript iframe noembed noframes object audio video canvas svg math "
-    "select datalist textarea".split()
+    "head title script style template noscript iframe noembed noframes object audio video canvas datalist "
+    "annotation annotation-xml".split()
 )
+#: Inside svg these are not drawn where they stand.
+SVG_UNSEEN = frozenset("defs desc metadata symbol".split())
+#: A colspan counts up to this.
+MAX_COLSPAN = 1000
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table "
@@ -68,8 +77,11 @@ _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _RAW_END = {tag: re.compile(f"</{tag}(?=[\\s/>])", re.IGNORECASE) for tag in RAW}
 
-#: A cell longer than this is not padded for.
-COLUMN = 60
+_UNQUOTED_END = re.compile(r"=\s*[^\s\"'>]+/$")
+
+#: Padding of a table may be so many times its text, and 64 KB: one long cell beside very
+#: many rows would otherwise make a text that grows with the square of the page.
+PADDING = 16
 
 
 class Node:
@@ -148,9 +160,12 @@ def parse(html: str) -> Node:
             close({"p"}, SCOPE | {"button"})
         node = Node(tag, _attributes(rest))
         stack[-1].children.append(node)
+        if (opened["svg"] or opened["math"]) and rest.endswith("/") and not _UNQUOTED_END.search(rest):
+            continue  # only there a tag can end itself
         if tag in RAW:
             stop = _RAW_END[tag].search(html, at)
-            node.children.append(html[at : stop.start() if stop else len(html)])
+            inside = html[at : stop.start() if stop else len(html)]
+            node.children.append(unescape(inside) if tag == "textarea" else inside)
             at = len(html) if stop is None else html.find(">", stop.end()) + 1 or len(html)
         elif tag not in VOID:
             stack.append(node)
@@ -211,21 +226,58 @@ class Page:
         self.blank = True
 
 
-def _table_lines(rows: list[list[str]]) -> list[str]:
-    widths: list[int] = []
+def _table_lines(rows: list[list[tuple[int, str]]]) -> list[str]:
+    """Rows of (column, text), each column as wide as its longest cell.
+
+    Where that would take more padding than ``PADDING`` allows, the widest columns are
+    narrowed until it fits; longer cells there push the rest of their row to the right.
+    """
+    widths: dict[int, int] = {}
+    for row in rows:
+        for column, cell in row:
+            widths[column] = max(widths.get(column, 0), len(cell))
+    allowed = PADDING * sum(len(cell) for row in rows for _, cell in row) + 65_536
+    widest = max(widths.values(), default=0)
+    while True:
+        begins, at = {}, 0
+        for column in sorted(widths):
+            begins[column] = at
+            at += min(widths[column], widest) + 2
+        if not widest or sum(begins[row[-1][0]] for row in rows if row) <= allowed:
+            break
+        widest //= 2
+    lines = []
     for row in rows:
-        for i, cell in enumerate(row):
-            if i == len(widths):
-                widths.append(0)
-            widths[i] = max(widths[i], len(cell)) if len(cell) <= COLUMN else widths[i]
-    return ["  ".join(cell.ljust(widths[i]) for i, cell in enumerate(row)).rstrip() for row in rows]
+        parts, at = [], 0
+        for column, cell in row:
+            pad = max(begins[column] - at, 2 if parts else 0)
+            parts.append(" " * pad + cell)
+            at += pad + len(cell)
+        lines.append("".join(parts).rstrip())
+    return lines
+
+
+def _shown_options(select: Node) -> list[Node | str]:
+    """What a closed select shows: the content of its last selected option, else of its first."""
+    options, rest = [], list(reversed(select.children))
+    while rest:
+        node = rest.pop()
+        if isinstance(node, Node):
+            if node.tag == "option":
+                options.append(node)
+            else:
+                rest.extend(reversed(node.children))
+    chosen = [o for o in options if "selected" in o.attributes][-1:] or options[:1]
+    return chosen[0].children if chosen else []
 
 
 def render(root: Node) -> str:
     """Walk the tree with a stack of steps: a node to enter, or what is to do at its end."""
     page = Page()
-    outer: list[tuple[Page, list[list[str]]]] = []  # tables around: their page, their rows so far
-    rows: list[list[str]] = []
+    outer: list[tuple[Page, list, list, int]] = []  # tables around: their page, rows, lists and columns so far
+    rows: list[list[tuple[int, str]]] = []
+    taken = 0  # columns of the row so far
+    drawings = 0  # svg elements around
     lists: list[list] = []  # open lists: [next number or None, indent outside]
     steps: list = [(root, True, False)]
     while steps:
@@ -238,7 +290,7 @@ def render(root: Node) -> str:
             if visible:
                 page.write(node, pre)
             continue
-        if not _shown(node):
+        if not _shown(node) or (drawings and node.tag in SVG_UNSEEN):
             continue
         tag = node.tag
         if found := _VISIBILITY.search(node.attributes.get("style", "")):
@@ -249,19 +301,34 @@ def render(root: Node) -> str:
         children = node.children
         if tag == "details" and "open" not in node.attributes:
             children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
-        if tag == "pre":
+        if tag in ("pre", "textarea"):
             pre = True
-        if tag == "table":
+        if tag in ("select", "textarea") or (drawings and tag == "text"):
+            page.write(" ")
+            steps.append(lambda: page.write(" "))
+            if tag == "select" and "multiple" not in node.attributes:
+                children = _shown_options(node)
+        if tag == "svg":
+            page.write(" ")
+            drawings += 1
+
+            def drawn() -> None:
+                nonlocal drawings
+                drawings -= 1
+                page.write(" ")
+
+            steps.append(drawn)
+        elif tag == "table":
             page.gap()
-            outer.append((page, rows, lists))
+            outer.append((page, rows, lists, taken))
             rows, lists = [], []
             page = Page()
 
             def done() -> None:
-                nonlocal page, rows, lists
+                nonlocal page, rows, lists, taken
                 page.end()
                 captions, table = page.lines, _table_lines(rows)
-                page, rows, lists = outer.pop()
+                page, rows, lists, taken = outer.pop()
                 for line in [*captions, *table]:
                     page.line = line
                     page.end(force=True)
@@ -270,21 +337,23 @@ def render(root: Node) -> str:
             steps.append(done)
         elif tag == "tr" and outer:
             rows.append([])
+            taken = 0
         elif tag in ("td", "th") and outer:
             if not rows:
                 rows.append([])
+                taken = 0
             holder = page
             page = Page()
             span = node.attributes.get("colspan", "1")
-            extra = min(int(span), 100) - 1 if span.isascii() and span.isdigit() and len(span) < 9 else 0
+            columns = min(max(int(span), 1), MAX_COLSPAN) if span.isascii() and span.isdigit() and len(span) < 9 else 1
 
-            def cell_done(holder: Page = holder, row: list[str] = rows[-1], extra: int = extra) -> None:
+            def cell_done(holder: Page = holder, row: list = rows[-1], column: int = taken) -> None:
                 nonlocal page
                 page.end()
-                row.append(" ".join(" ".join(page.lines).split()))
-                row.extend([""] * extra)
+                row.append((column, " ".join(" ".join(page.lines).split())))
                 page = holder
 
+            taken += columns
             steps.append(cell_done)
         elif tag in ("ul", "ol", "menu", "dir"):
             page.end() if lists else page.gap()
