@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,7 +124,8 @@ LISTED_WORDS = r"(^|[.-])(adult|ads|bets|casino|pills|spam)([.-]|$)"
 def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules, and a block list made from the hosts of the pages themselves."""
     pages = table(spark, sf_dir, "pages")
-    host = F.lower(F.regexp_extract("url", "://([^/?#]+)", 1))
+    # Only A-Z in lower case, as in the operator.
+    host = F.translate(F.regexp_extract("url", "(?s)^.*?://([^/?#]*)", 1), ascii_uppercase, ascii_lowercase)
     listed = pages.select(host.alias("host")).where(F.col("host").rlike(LISTED_WORDS)).distinct()
     listed = listed.select("host", F.lit("").alias("path"), F.lit("block").alias("verdict"), F.lit(True).alias("listed"))
     rules = spark.range(1).select(

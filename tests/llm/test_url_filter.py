@@ -76,3 +76,12 @@ def test_query_equals_sql(spark, small_dir):
     from corpusloom.llm.queries import op10_url_verdicts
 
     assert differences(op10_url_verdicts(spark, small_dir), ORACLES["op10_url_verdicts"], small_dir) == []
+
+
+def test_listed_hosts_are_lowered_like_the_hosts_of_urls(spark, tmp_path):
+    urls = ["http://ADS.\u00c4b.com/x", "http://ads.\u00e4b.com/", "http:///y://spam.com/", None]
+    rows = [(i, url, "") for i, url in enumerate(urls)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    found = {r["page_id"]: r for r in op10_url_verdicts(spark, str(tmp_path)).collect()}
+    assert [found[i]["host"] for i in range(4)] == ["ads.\u00c4b.com", "ads.\u00e4b.com", "", ""]
+    assert [found[i]["verdict"] for i in range(4)] == ["block", "block", "allow", "allow"]
