@@ -203,15 +203,22 @@ def mixed_positions(
     return placed.select("key", "crc", "label", "block", "phase", "slot", position.cast("long").alias("position"))
 
 
-def mixed(docs: DataFrame, *, key: str = "doc_id", text: str = "text", rows_per_part: int = 50_000, **how) -> DataFrame:
+def mixed(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", rows_per_part: int = 50_000, least_rows: int = 1_000,
+    **how,
+) -> DataFrame:
     """The documents in mixture order: sorted within partitions that follow each other.
 
-    ``key`` must identify a row. Writing the result gives files in that order.
+    ``key`` must identify a row. Writing the result gives files in that order: of at most
+    ``rows_per_part`` rows, and enough of them for two tasks a core wherever files of
+    ``least_rows`` rows suffice for that, since a later job reads a small file in one task.
     """
     folder = shared_folder(docs.sparkSession, "mixture")
     found = mixed_positions(docs, key=key, text=text, **how)
     found = written(found.select(F.col("key").alias("_mix_key"), F.col("position").alias("_mix_position")), folder)
     joined = docs.join(found, F.col(key).eqNullSafe(F.col("_mix_key")))
-    parts = max(1, -(-found.count() // rows_per_part))
+    rows = found.count()
+    tasks = 2 * docs.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, -(-rows // rows_per_part), min(tasks, -(-rows // least_rows)))
     ordered = joined.repartitionByRange(parts, "_mix_position").sortWithinPartitions("_mix_position")
     return ordered.select(*docs.columns)
