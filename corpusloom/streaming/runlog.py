@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.types import StructType
 
 from corpusloom.operators.runlog import (
     LOGGING_STEPS,
@@ -21,7 +24,11 @@ from corpusloom.operators.runlog import (
 _STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: An evaluation that waits for earlier ones: time in microseconds, step and score.
-WAITING = np.dtype([("at", "<i8"), ("step", "<i8"), ("score", "<f8")])
+WAITING = {"at": "<i8", "step": "<i8", "score": "<f8"}
+#: Groups of runs that share their state; every group is one task's work in a micro-batch.
+GROUPS = 256
+#: Run ids of any type as text and back.
+_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def enriched_log(events: DataFrame, every: int = LOGGING_STEPS) -> DataFrame:
@@ -78,11 +85,24 @@ def advance(
     return (int(stops[0]) if len(stops) else None), float(min(start, scores.min())), int(waits[-1])
 
 
+def _packed(columns: dict) -> bytes:
+    """A table as the bytes of an Arrow stream, for one value of state."""
+    table, sink = pa.table(columns), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(chunks: Iterable[bytes]) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(chunk).read_all() for chunk in chunks])
+
+
 class _EarlyStop(StatefulProcessor):
-    """Per run: evaluations wait until the watermark has passed them, then count in step order.
+    """Per group of runs: evaluations wait until the watermark has passed them, then count in step order.
 
-    Waiting evaluations are kept as binary chunks, one per group of arrived rows. One timer
-    per run stands at its earliest waiting evaluation.
+    A call for state costs more than many rows, so runs share it: the waiting evaluations of
+    a group are kept as chunks, one per frame of arrived rows, and what its runs have reached
+    as one table. One timer per group stands at its earliest waiting evaluation.
     """
 
     def __init__(self, patience: int, threshold: float):
@@ -90,27 +110,44 @@ class _EarlyStop(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._reached = handle.getValueState("reached", "best double, waited bigint, stopped boolean, timer bigint")
+        self._reached = handle.getValueState("reached", "runs binary, timer bigint")
         self._waiting = handle.getListState("waiting", "rows binary")
 
-    def _state(self) -> tuple:
-        return self._reached.get() if self._reached.exists() else (None, 0, False, None)
+    def _state(self) -> tuple[dict[str, tuple[float, int, bool]], int | None]:
+        """Best score, evaluations without improvement and whether it stopped, by run; the timer."""
+        packed, timer = self._reached.get() or (None, None)
+        if packed is None:
+            return {}, timer
+        runs, *reached = (c.to_pylist() for c in _unpacked([packed]).columns)
+        return dict(zip(runs, zip(*reached, strict=True), strict=True)), timer
+
+    def _keep(self, reached: dict[str, tuple[float, int, bool]], timer: int | None) -> None:
+        best, waited, stopped = zip(*reached.values(), strict=True) if reached else ((), (), ())
+        columns = {
+            "run": pa.array(list(reached), pa.string()),
+            "best": pa.array(best, pa.float64()),
+            "waited": pa.array(waited, pa.int64()),
+            "stopped": pa.array(stopped, pa.bool_()),
+        }
+        self._reached.update((_packed(columns), timer))
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best, waited, stopped, timer = self._state()
+        reached, stands = self._state()
+        over = [run for run, (_, _, stopped) in reached.items() if stopped]
+        timer = stands
         for frame in rows:
-            if stopped or frame.empty:
+            frame = frame[~frame["waiting_run"].isin(over)]
+            if frame.empty:
                 continue
-            chunk = np.empty(len(frame), WAITING)
-            for name in WAITING.names:
-                chunk[name] = frame[f"waiting_{name}"].to_numpy()
-            self._waiting.appendValue((chunk.tobytes(),))
+            chunk = {name: frame[f"waiting_{name}"].to_numpy().astype(kind) for name, kind in WAITING.items()}
+            self._waiting.appendValue((_packed({"run": pa.array(frame["waiting_run"], pa.string())} | chunk),))
             timer = self._timer(int(chunk["at"].min()), timer)
-        self._reached.update((best, waited, stopped, timer))
+        if timer != stands:
+            self._keep(reached, timer)
         return iter([])
 
     def _timer(self, at: int, timer: int | None) -> int:
-        """Have the timer of the run stand at or before the time ``at``."""
+        """Have the timer of the group stand at or before the time ``at``."""
         due = -(-at // 1000)
         if timer is not None and timer <= due:
             return timer
@@ -120,21 +157,37 @@ class _EarlyStop(StatefulProcessor):
         return due
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        best, waited, stopped, _ = self._state()
-        if stopped:
-            return
-        rows = np.concatenate([np.frombuffer(chunk[0], WAITING) for chunk in self._waiting.get()])
-        passed = rows["at"] <= timerValues.getCurrentWatermarkInMs() * 1000
-        due, later = np.sort(rows[passed], order=["step", "at"]), rows[~passed]
-        stop, best, waited = advance(due["score"], best, int(waited), self.patience, self.threshold)
+        reached, _ = self._state()
+        rows = _unpacked([chunk[0] for chunk in self._waiting.get()]).combine_chunks()
+        passed = rows["at"].to_numpy() <= timerValues.getCurrentWatermarkInMs() * 1000
+        later = rows.filter(pa.array(~passed))
+        stops = list(self._advanced(rows.filter(pa.array(passed)), reached))
+        if stops:
+            over = pa.array([run for run, _ in stops], pa.string())
+            later = later.filter(pc.invert(pc.is_in(later["run"], over)))
         self._waiting.clear()
         timer = None
-        if stop is None and len(later):
-            self._waiting.appendValue((later.tobytes(),))
-            timer = self._timer(int(later["at"].min()), None)
-        self._reached.update((best, waited, stop is not None, timer))
-        if stop is not None:
-            yield pd.DataFrame({"run_id": [key[0]], "stop_step": [int(due["step"][stop])]})
+        if len(later):
+            self._waiting.appendValue((_packed(dict(zip(later.column_names, later.columns, strict=True))),))
+            timer = self._timer(pc.min(later["at"]).as_py(), None)
+        self._keep(reached, timer)
+        if stops:
+            yield pd.DataFrame(stops, columns=["run", "stop_step"])
+
+    def _advanced(self, due: pa.Table, reached: dict[str, tuple[float, int, bool]]) -> Iterator[tuple[str, int]]:
+        """Go on in ``reached`` through evaluations that have passed; the runs that stop, with the step."""
+        coded = due["run"].combine_chunks().dictionary_encode()
+        number = coded.indices.to_numpy()
+        at, step, score = (due[name].to_numpy() for name in WAITING)
+        order = np.lexsort((score, at, step, number))
+        step, score = step[order], score[order]
+        ends = np.cumsum(np.bincount(number, minlength=len(coded.dictionary)))
+        for run, first, end in zip(coded.dictionary.to_pylist(), [0, *ends[:-1]], ends, strict=False):
+            best, waited, _ = reached.get(run, (None, 0, False))
+            stop, best, waited = advance(score[first:end], best, waited, self.patience, self.threshold)
+            reached[run] = best, waited, stop is not None
+            if stop is not None:
+                yield run, int(step[first + stop])
 
     def close(self) -> None:
         pass
@@ -149,29 +202,35 @@ def early_stop_stream(
     threshold: float = 0.0,
     metric: str = "eval_loss",
     greater_is_better: bool = False,
+    groups: int = GROUPS,
 ) -> DataFrame:
     """Emit ``(run_id, stop_step)`` once per run, as soon as it is certain.
 
     Evaluations may arrive in any order within ``delay`` of event time; they count in step
     order once the watermark has passed them, and later ones are dropped. Steps of a run
     must not run against its time. The stream's session needs the state store of
-    :func:`with_state_store`. State per run is what has arrived within ``delay``.
+    :func:`with_state_store`. State per run is what has arrived within ``delay``; it is kept
+    for ``groups`` groups of runs, a number that must stay the same for a checkpoint. What
+    waits in one group must fit a Python worker.
     """
     if patience < 1:
         raise ValueError("patience must be at least 1 for a stream")
     score = -F.col(metric) if greater_is_better else F.col(metric)
-    run_type = events.schema["run_id"].dataType.simpleString()
+    run_type = StructType([events.schema["run_id"]])
     rows = events.withWatermark(time, delay).where(F.col(metric).isNotNull())
     rows = rows.select(
-        "run_id",
+        F.pmod(F.xxhash64("run_id"), F.lit(groups)).alias("group"),
+        F.to_json(F.struct("run_id"), _TIMES).alias("waiting_run"),
         F.col(time),
         F.unix_micros(time).alias("waiting_at"),
         F.col("step").cast("bigint").alias("waiting_step"),
         score.cast("double").alias("waiting_score"),
     )
-    return rows.groupBy("run_id").transformWithStateInPandas(
+    stops = rows.groupBy("group").transformWithStateInPandas(
         statefulProcessor=_EarlyStop(patience, threshold),
-        outputStructType=f"run_id {run_type}, stop_step bigint",
+        outputStructType="run string, stop_step bigint",
         outputMode="append",
         timeMode="eventTime",
     )
+    run = F.from_json("run", run_type, _TIMES | {"mode": "FAILFAST"})
+    return stops.select(run["run_id"].alias("run_id"), "stop_step")

@@ -99,6 +99,47 @@ def test_early_stop_waits_for_the_watermark_and_tells_once(spark, tmp_path):
     assert found == [[], [], [(1, 5)], [(1, 5)]]
 
 
+def test_early_stop_state_does_not_grow_with_the_runs(spark, tmp_path):
+    rng = random.Random(7)
+    log = [_row(run, step, float(rng.randrange(5))) for run in range(600) for step in range(1, 6)]
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    own, kept = with_state_store(spark), []
+    for rows in (log[::2], log[1::2] + END):
+        _arrive(spark, source, rows)
+        stops = early_stop_stream(own.readStream.schema(TIMED).parquet(source), time="at", delay="9 seconds", patience=2)
+        query = write_log_stream(stops, sink, checkpoint)
+        query.awaitTermination()
+        kept += [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    # One row for what runs have reached, two for a timer, and those of the list, for each of 256 groups.
+    assert 0 < max(kept) <= 256 * 6
+    batch = early_stop(spark.createDataFrame(log, TIMED), patience=2)
+    assert _rows(spark.read.parquet(sink)) == _rows(batch.where("stop_step IS NOT NULL"))
+
+
+@pytest.mark.parametrize(
+    ("kind", "runs"),
+    [
+        ("bigint", [2**60 + 1, 2**60 + 2, None]),
+        ("string", ['a"b\\', "", "\u00e4\n"]),
+        ("binary", [b"\xff\x00", b""]),
+        ("timestamp", [datetime(2024, 10, 27, 2, 30, 0, 123456), datetime(2024, 10, 27, 2, 30, 0, 123457)]),
+    ],
+)
+def test_early_stop_keeps_run_ids_of_any_type(spark, tmp_path, kind, runs):
+    schema = f"run_id {kind}, step bigint, eval_loss double, at timestamp"
+    log = [_row(run, step, 1.0) for run in runs for step in (1, 2, 3)]
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    own = with_state_store(spark)
+    for rows in (log, [(runs[0], 0, 0.0, datetime(2025, 1, 1))]):
+        _arrive(spark, source, rows, schema)
+        stream = own.readStream.schema(schema).parquet(source)
+        stops = early_stop_stream(stream, time="at", delay="9 seconds", patience=2, groups=1)
+        write_log_stream(stops, sink, checkpoint).awaitTermination()
+    found = spark.read.parquet(sink).collect()
+    assert sorted((r["run_id"], r["stop_step"]) for r in found if r["run_id"] is not None) == sorted((run, 3) for run in runs if run is not None)
+    assert len(found) == len(runs)
+
+
 def test_greater_is_better_in_a_stream(spark, tmp_path):
     rows = [_row(1, s, v) for s, v in enumerate([1.0, 2.0, 2.0, 1.0], 1)]
     assert _stops(spark, tmp_path, [rows, END], patience=2, greater_is_better=True)[-1] == [(1, 4)]
