@@ -65,7 +65,10 @@ _WORD = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+
 _BYTE_LEVEL = {b: chr(b) for b in range(256) if 0x21 <= b <= 0x7E or (0xA1 <= b and b != 0xAD)}
 _BYTE_LEVEL |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _BYTE_LEVEL)}
 _PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ɏ]*")
-_SPACES = re.compile(r"\s ")
+#: A word of letters and one of other signs, where the rule cuts.
+_SIGNED = r"^(?P<head>[A-Za-zÀ-ÖØ-öø-ɏ]+)(?P<tail>[!-/:-@\[-`{-~]+)$"
+#: White space before a space, of the kinds that plain texts hold.
+_SPACES = [white + " " for white in " \n\t\r\v\f"]
 
 
 class WordCache:
@@ -74,8 +77,9 @@ class WordCache:
     Byte-pair merges never cross words, so the ids of a text are those of its words in
     turn. A space after a visible character always begins a word, so texts are first cut
     at spaces, and the pieces of a batch are told apart by Arrow's dictionary encoding;
-    only pieces not seen before are cut into words, and only new words go to the
-    tokenizer's merging.
+    letters with other signs after them are two words, other pieces not seen before are cut
+    by the rule, and only new words go to the tokenizer's merging. When half as many as may
+    be remembered are known, only those met again before the next time stay.
     """
 
     def __init__(self, path: str, special_as_text: bool = False, remembered_words: int = REMEMBERED_WORDS):
@@ -86,6 +90,8 @@ class WordCache:
         #: Of tokens that are cut out before words are: texts that hold one go to the tokenizer whole.
         self.special = [] if special_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ids: dict[str, bytes] = {}
+        #: Remembered before ``ids``: what is met again moves there, the rest is forgotten in its turn.
+        self.former: dict[str, bytes] = {}
         self.remembered_words = remembered_words
 
     def whole(self, text: str) -> bytes:
@@ -100,15 +106,22 @@ class WordCache:
         ends = list(accumulate(map(len, ids), initial=0))
         self.ids.update((word, raw[4 * i : 4 * j]) for word, i, j in zip(words, ends, ends[1:], strict=False))
 
+    def _unknown(self, words: list[str]) -> list[str]:
+        """The words that are not remembered, without those that were before: they move on."""
+        known, former = self.ids, self.former
+        new = [word for word in words if word not in known]
+        known.update((word, former[word]) for word in new if word in former)
+        return [word for word in new if word not in former]
+
     def _lookup(self, pieces: list[str]) -> list[bytes]:
         """Ids of different pieces of plain text, each of which begins and ends with a word."""
         known = self.ids
-        new = [piece for piece in pieces if piece not in known]
+        new = self._unknown(pieces)
         # A piece of letters alone, with or without a space before them, is one word.
         words = {piece for piece in new if (piece[1:] if piece[:1] == " " else piece).isalpha()}
         cut = [(piece, _WORD.findall(piece)) for piece in new if piece not in words]
-        words.update(*[own for _, own in cut])
-        words.difference_update(known)
+        inside = set().union(*[own for _, own in cut])
+        words.update(self._unknown(list(inside)))
         spaces = [word for word in words if word.isspace()]
         known.update((word, self.whole(word)) for word in spaces)
         self._learn(list(words.difference(spaces)))
@@ -117,14 +130,14 @@ class WordCache:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian u32."""
-        if len(self.ids) > self.remembered_words:
-            self.ids.clear()
+        if len(self.ids) > self.remembered_words // 2:
+            self.ids, self.former = {}, self.ids
         out: list[bytes | None] = [
             None if _PLAIN.fullmatch(text) and not any(s in text for s in self.special) else self.whole(text)
             for text in texts
         ]
         plain = [i for i, ids in enumerate(out) if ids is None]
-        cut = [i for i in plain if not _SPACES.search(texts[i])]
+        cut = [i for i in plain if not any(pair in texts[i] for pair in _SPACES)]
         for i, ids in zip(cut, self._pieces([texts[i] for i in cut]), strict=True):
             out[i] = ids
         for i in plain:
@@ -142,15 +155,17 @@ class WordCache:
         coded = found.flatten().dictionary_encode()
         index = coded.indices.to_numpy()
         # The first piece of a text has no space before it.
-        names = coded.dictionary.to_numpy(zero_copy_only=False)
-        first = names[index[offsets[:-1]]].tolist()
+        first = coded.dictionary.take(coded.indices.take(pa.array(offsets[:-1]))).to_pylist()
         different = list(dict.fromkeys(first))
         ids_of = dict(zip(different, self._lookup(different), strict=True))
         heads = [ids_of[piece] for piece in first]
         later = np.ones(len(index), bool)
         later[offsets[:-1]] = False
-        used, index = np.unique(index[later], return_inverse=True)
-        ids = self._lookup((" " + names[used]).tolist())
+        index = index[later]
+        used = np.zeros(len(coded.dictionary), bool)
+        used[index] = True
+        index = (np.cumsum(used) - 1)[index]
+        ids = self._spaced(coded.dictionary.filter(pa.array(used)))
         values = np.frombuffer(b"".join(ids), "<u4")
         sizes = np.array([len(x) // 4 for x in ids], np.int64)
         starts = np.cumsum(sizes) - sizes
@@ -161,6 +176,20 @@ class WordCache:
         ends = np.concatenate([[0], ends])[offsets - np.arange(len(offsets))]
         return [head + body[4 * a : 4 * b] for head, a, b in zip(heads, ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
+    def _spaced(self, pieces: pa.Array) -> list[bytes]:
+        """Ids of different pieces, each after a space; letters and the signs after them are looked up apart."""
+        found = pc.extract_regex(pieces, _SIGNED)
+        signed = found.is_valid()
+        space, nothing = pa.scalar(" ", pieces.type), pa.scalar("", pieces.type)
+        other, heads = pieces.filter(pc.invert(signed)), found.field("head").filter(signed)
+        other, heads = (pc.binary_join_element_wise(space, part, nothing) for part in (other, heads))
+        tails = found.field("tail").filter(signed)
+        other, heads, tails = (part.to_numpy(zero_copy_only=False).tolist() for part in (other, heads, tails))
+        known = iter(self._lookup(other))
+        self._lookup(list(dict.fromkeys(chain(heads, tails))))
+        both = (self.ids[head] + self.ids[tail] for head, tail in zip(heads, tails, strict=True))
+        return [next(both if s else known) for s in signed.to_numpy(zero_copy_only=False).tolist()]
+
 
 _caches: dict[tuple[str, bool, int], WordCache] = {}
 
@@ -246,12 +275,24 @@ def frequency_ranks(encoded: DataFrame, max_ids: int = 1 << 22) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
+
+        def add(parts: list[np.ndarray]) -> None:
+            nonlocal total
+            found = np.bincount(np.concatenate(parts))
+            if len(found) > len(total):
+                total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
+            total[: len(found)] += found
+
+        parts, n = [], 0
         for batch in batches:
             for packed in batch.column(0):
-                found = np.bincount(unpack(packed.as_py()))
-                if len(found) > len(total):
-                    total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
-                total[: len(found)] += found
+                parts.append(unpack(packed.as_py()))
+                n += len(parts[-1])
+                if n >= BLOCK_IDS:
+                    add(parts)
+                    parts, n = [], 0
+        if parts:
+            add(parts)
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
 

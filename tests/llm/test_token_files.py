@@ -52,6 +52,21 @@ def test_words_give_the_ids_of_whole_texts(reference):
         assert np.frombuffer(ids, "<u4").tolist() == reference(text)[:-1], repr(text)
 
 
+def test_words_met_again_are_not_merged_again(reference):
+    """A word of every batch stays remembered, however many others come; with signs after it it is the same word."""
+    cache = token_files.WordCache(tokenizer_path(), remembered_words=40)
+    learned, merge = [], cache._learn
+    cache._learn = lambda words: (learned.extend(words), merge(words))
+    rng = random.Random(2)
+    for i in range(12):
+        others = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz\u00e9", k=9)) for _ in range(30)]
+        text = f"start often, {' '.join(others)} often. don't (often) often-{others[0]} \u00c9often_, often7! end"
+        assert list(np.frombuffer(cache.encode([text])[0], "<u4")) == reference(text)[:-1]
+        assert len(cache.ids) + len(cache.former) <= 2 * (20 + 50)
+    assert learned.count(" often") == 1
+    assert not any(word.startswith(" often") and word[6:] for word in cache.ids if word[6:7] in {",", "."})
+
+
 def test_special_tokens_may_be_read_as_text():
     made = tokenizers.Tokenizer.from_file(tokenizer_path())
     made.encode_special_tokens = True
