@@ -116,6 +116,18 @@ def test_early_stop_state_does_not_grow_with_the_runs(spark, tmp_path):
     assert _rows(spark.read.parquet(sink)) == _rows(batch.where("stop_step IS NOT NULL"))
 
 
+def test_early_stop_of_runs_beside_one_without_id(spark, tmp_path):
+    log = [_row(run, step, 1.0) for run in [*range(40), None] for step in (1, 2, 3)]
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    own = with_state_store(spark)
+    for rows in (log[::2], log[1::2] + [_row(0, 60, 1.0)]):
+        _arrive(spark, source, rows)
+        stops = early_stop_stream(own.readStream.schema(TIMED).parquet(source), time="at", delay="9 seconds", patience=2)
+        write_log_stream(stops, sink, checkpoint).awaitTermination()
+    found = spark.read.parquet(sink).collect()
+    assert {r["run_id"]: r["stop_step"] for r in found} == dict.fromkeys([*range(40), None], 3)
+
+
 @pytest.mark.parametrize(
     ("kind", "runs"),
     [
